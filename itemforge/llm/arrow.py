@@ -9,6 +9,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+_BUILT: dict[tuple, object] = {}
+
+
+def once(held, build: Callable):
+    """``build(held.value)`` kept for all tasks of a Python worker; a new broadcast replaces what an older one left."""
+    key = (build, getattr(held, "_jid", None) or id(held))
+    if key not in _BUILT:
+        for old in [k for k in _BUILT if k[0] is build]:
+            del _BUILT[old]
+        _BUILT[key] = build(held.value)
+    return _BUILT[key]
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]], schema: str | T.StructType) -> DataFrame:
     """Apply a row function to the columns of ``df``, batch by batch.
 

@@ -6,12 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from itemforge.llm import canonical, encoding, tokenize_bpe
+from itemforge.llm import canonical, encoding, language, scan, tokenize_bpe
 from itemforge.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields with a trace of the scanned page."""
+    fields = ["DESC_ENUNCIADO", "DESC_ALTER_A"]
+    df = table(spark, sf, "pipeline", "ID_LINHA", *fields)
+    return scan.scan_traces(df, "ID_LINHA", fields, scan.fit_lexicon(df, fields)).select("id_linha", "campo")
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Languages of a field that its record's label does not name."""
+    fields = ["DESC_ENUNCIADO", "DESC_ALTER_A"]
+    df = table(spark, sf, "pipeline", "ID_LINHA", "TX_IDIOMA", *fields)
+    words = language.fit_profile(df, "ID_LINHA", "TX_IDIOMA", "DESC_ENUNCIADO")
+    return language.language_cases(df, "ID_LINHA", "TX_IDIOMA", fields, words)
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     """Fields with look-alike, invisible or taken-apart characters."""
     fields = ["DESC_ENUNCIADO", "DESC_ALTER_B"]
@@ -29,5 +44,5 @@ def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokenize_bpe.encode_corpus(table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
 
 
-QUERIES: dict[str, Query] = {"p3_found": p3_found, "p6_found": p6_found, "p8_ids": p8_ids}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p8_ids": p8_ids}
 SQL: dict[str, str] = {}
