@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from itemforge.llm import canonical, encoding, language, scan, tokenize_bpe
+from itemforge.llm import canonical, encoding, language, reading, scan, subjects, tokenize_bpe
 from itemforge.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,24 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return canonical.unstable_fields(table(spark, sf, "pipeline", "ID_LINHA", *fields), "ID_LINHA", fields).select("id_linha", "campo")
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Reading level of every record with a statement."""
+    df = table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO")
+    labels = table(spark, sf, "reading_labels", "id_linha", "nivel")
+    sample = reading.labelled_sample(df, "ID_LINHA", "DESC_ENUNCIADO", labels, "id_linha", "nivel", reading.FIT_DOCUMENTS)
+    cut = reading.Splitter()
+    model = reading.fit_levels([(cut.words(t), g[0]) for t, g in sample if g[0] in reading.LEVELS])
+    return reading.reading_levels(df, "ID_LINHA", "DESC_ENUNCIADO", model).select("id_linha", "nivel")
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Subjects that at least two sentences of a record treat."""
+    df = table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO")
+    labels = table(spark, sf, "subject_labels", "id_linha", "assunto")
+    sample = subjects.labelled_sample(df, "ID_LINHA", "DESC_ENUNCIADO", labels, "id_linha", "assunto", subjects.FIT_DOCUMENTS)
+    return subjects.subject_areas(df, "ID_LINHA", "DESC_ENUNCIADO", subjects.fit_topics(spark, sample)).select("id_linha", "assunto")
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """Fields decoded, wholly or partly, with a wrong encoding."""
     fields = ["DESC_ENUNCIADO", "DESC_ALTER_C"]
@@ -44,5 +62,5 @@ def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokenize_bpe.encode_corpus(table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p8_ids": p8_ids}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p8_ids": p8_ids}
 SQL: dict[str, str] = {}
