@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from itemforge.llm import canonical, encoding, language, reading, scan, subjects, tokenize_bpe
+from itemforge.llm import canonical, encoding, language, leaks, reading, scan, subjects, tokenize_bpe
 from itemforge.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,5 +63,11 @@ def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokenize_bpe.encode_corpus(table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p8_ids": p8_ids}
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with at least twelve consecutive words of a test item."""
+    docs, items = table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "eval_items", "item_id", "text")
+    return leaks.leaked_passages(docs, "doc_id", "text", items, "item_id", "text").where(F.col("palavras_seguidas") >= leaks.RUN).select("doc_id", "item_id")
+
+
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_found": p9_found}
 SQL: dict[str, str] = {}
