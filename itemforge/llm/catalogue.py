@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemforge.llm import canonical, encoding, language, leaks, reading, scan, subjects, tokenize_bpe
+from itemforge.llm import canonical, encoding, language, leaks, personal, reading, scan, subjects, tokenize_bpe
 from itemforge.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,5 +69,11 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.leaked_passages(docs, "doc_id", "text", items, "item_id", "text").where(F.col("palavras_seguidas") >= leaks.RUN).select("doc_id", "item_id")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_found": p9_found}
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data of the documents, by type and position."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    return personal.personal_spans(docs, "doc_id", "text", personal.fit_model(docs, "doc_id", "text")).select("doc_id", "tipo", "inicio")
+
+
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 SQL: dict[str, str] = {}
