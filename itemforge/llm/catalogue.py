@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemforge.llm import canonical, encoding, language, leaks, personal, reading, scan, subjects, tokenize_bpe
+from itemforge.llm import canonical, encoding, language, leaks, near, personal, reading, scan, subjects, tokenize_bpe
 from itemforge.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,11 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return encoding.garbled_fields(table(spark, sf, "pipeline", "ID_LINHA", *fields), "ID_LINHA", fields).select("id_linha", "campo")
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of records whose statements are alike to at least one half."""
+    return near.alike_pairs(table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO"), "ID_LINHA", "DESC_ENUNCIADO", 0.5)
+
+
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Token ids of every document."""
     return tokenize_bpe.encode_corpus(table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
@@ -75,5 +80,5 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return personal.personal_spans(docs, "doc_id", "text", personal.fit_model(docs, "doc_id", "text")).select("doc_id", "tipo", "inicio")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
 SQL: dict[str, str] = {}
