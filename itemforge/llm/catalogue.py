@@ -80,5 +80,51 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return personal.personal_spans(docs, "doc_id", "text", personal.fit_model(docs, "doc_id", "text")).select("doc_id", "tipo", "inicio")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found}
+def p1_repaired(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields with traces as continuous paragraphs, with the traces counted."""
+    fields = ["DESC_ENUNCIADO", "DESC_ALTER_A"]
+    df = table(spark, sf, "pipeline", "ID_LINHA", *fields)
+    return scan.scan_traces(df, "ID_LINHA", fields, scan.fit_lexicon(df, fields))
+
+
+def p2_passages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every passage of both fields with its language and confidence."""
+    fields = ["DESC_ENUNCIADO", "DESC_ALTER_A"]
+    df = table(spark, sf, "pipeline", "ID_LINHA", "TX_IDIOMA", *fields)
+    return language.passages(df, "ID_LINHA", fields, language.fit_profile(df, "ID_LINHA", "TX_IDIOMA", "DESC_ENUNCIADO"))
+
+
+def p3_canonical(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields with unstable segments in their canonical form."""
+    fields = ["DESC_ENUNCIADO", "DESC_ALTER_B"]
+    return canonical.unstable_fields(table(spark, sf, "pipeline", "ID_LINHA", *fields), "ID_LINHA", fields)
+
+
+def p6_restored(spark: SparkSession, sf: str) -> DataFrame:
+    """Garbled fields with the original text where it can be restored."""
+    fields = ["DESC_ENUNCIADO", "DESC_ALTER_C"]
+    return encoding.garbled_fields(table(spark, sf, "pipeline", "ID_LINHA", *fields), "ID_LINHA", fields)
+
+
+def p7_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of one question grouped over the whole bank, with the number of links of each."""
+    return near.record_groups(table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO"), "ID_LINHA", "DESC_ENUNCIADO", 0.5)
+
+
+def p9_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidate leaks with their alignment score and longest verbatim run."""
+    docs, items = table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "eval_items", "item_id", "text")
+    return leaks.leaked_passages(docs, "doc_id", "text", items, "item_id", "text")
+
+
+def p10_masked(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with personal data replaced by typed placeholders."""
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    return personal.masked_texts(docs, "doc_id", "text", personal.fit_model(docs, "doc_id", "text"))
+
+
+QUERIES: dict[str, Query] = {
+    "p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found,
+    "p1_repaired": p1_repaired, "p2_passages": p2_passages, "p3_canonical": p3_canonical, "p6_restored": p6_restored, "p7_groups": p7_groups, "p9_report": p9_report, "p10_masked": p10_masked,
+}
 SQL: dict[str, str] = {}

@@ -121,7 +121,7 @@ def fit_words(texts: list[tuple[str, str]], rounds: int = 4) -> dict[str, Counte
             if len(w) >= 4:
                 sentences.append((label, w))
     given = [label for label, _ in sentences]
-    languages = [g for g in LANGUAGES if g in set(given)] or [*LANGUAGES[:1]]
+    languages = [g for g in LANGUAGES if g in set(given)]
     for _ in range(rounds):
         words = {g: Counter() for g in languages}
         for g, (_, w) in zip(given, sentences):
@@ -130,11 +130,13 @@ def fit_words(texts: list[tuple[str, str]], rounds: int = 4) -> dict[str, Counte
         size = {g: sum(c.values()) + 1 for g, c in words.items()}
         fresh = []
         for _, w in sentences:
+            if not languages:
+                break
             score = {g: sum(math.log((words[g][x] + 0.05) / size[g]) for x in w) for g in languages}
             best = sorted(score.values(), reverse=True)
             clear = len(best) < 2 or best[0] - best[1] > 0.7 * len(w)
             fresh.append(max(score, key=score.get) if clear else "")
-        given = fresh
+        given = fresh if languages else given
     words = {g: Counter() for g in languages}
     for g, (_, w) in zip(given, sentences):
         if g:
@@ -165,6 +167,8 @@ class Classifier:
         """(language, words, confidence) of the runs of sentences in one language, in order."""
         if not text:
             return []
+        if not self.profile.languages:
+            return [("und", n, 0.0)] if (n := len(_ANY_WORD.findall(text))) else []
         text = self.clean(text)
         if ", " in text:
             text = _REFERENCE.sub("\n", text)

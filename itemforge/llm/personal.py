@@ -30,7 +30,7 @@ FIT_DOCUMENTS = 800
 EPOCHS = 4
 LEXICON_MOST = 50_000
 _S = "[ \xa0\u2007\u2009\u202f]"
-_CAP = r"[A-ZÀ-ÖØ-Ý][\wÀ-ÿ'’]+"
+_CAP = r"[A-ZÀ-ÖØ-Ý][\wÀ-ÿ'’]{1,40}"
 _PARTICLE = r"(?:d[aeo]s?|del|de la|de los|e|y|van|von|di)"
 
 _AT = rf"(?:{_S}?@{_S}?|{_S}?[(\[{{<]{_S}?(?i:at|arroba|a){_S}?[)\]}}>]{_S}?|{_S}(?i:arroba|at){_S})"
@@ -42,7 +42,7 @@ STREET = (
     r"(?:[Rr]ua|RUA|R\.|[Aa]venida|AVENIDA|[Aa]v\.|Avda\.(?: de)?|[Tt]ravessa|TRAVESSA|Trav\.|[Aa]lameda|ALAMEDA|Al\.|[Pp]raça|Pça\.|[Ll]argo|[Ee]strada|[Rr]odovia|"
     r"[Cc]alle|CALLE|C/|[Pp]laza|PLAZA|Pza\.|[Pp]aseo|[Cc]amino|[Cc]arrera|[Rr]onda)"
 )
-ADDRESS = re.compile(rf"(?<!\w){STREET}{_S}+(?:(?:d[aeo]s?|del|de la|DOS|DAS|DA|DO|DE){_S})*(?:{_CAP}{_S}?){{1,4}},?{_S}?(?:(?:n[.ºo°]*|n\.º|nº|número|num\.?|no\.|#){_S}?)?\d{{1,5}}(?!\w)(?:,{_S}(?:apto|casa|bloco|piso|sala|apt\.?|puerta){_S}\w+)?")
+ADDRESS = re.compile(rf"(?<!\w){STREET}{_S}+(?:(?:d[aeo]s?|del|de la|DOS|DAS|DA|DO|DE){_S})*{_CAP}(?:{_S}{_CAP}){{0,3}},?{_S}?(?:(?:n[.ºo°]*|n\.º|nº|número|num\.?|no\.|#){_S}?)?\d{{1,5}}(?!\w)(?:,{_S}(?:apto|casa|bloco|piso|sala|apt\.?|puerta){_S}\w+)?")
 ADDRESS_EN = re.compile(rf"(?<![\w.,-])\d{{1,5}}{_S}(?:{_CAP}{_S}){{1,3}}(?:Street|Road|Avenue|Lane|Drive|Court|Square|Place|Way|Terrace|St|Rd|Ave)\b\.?")
 NAME = re.compile(rf"(?<![\w@'’-]){_CAP}(?:{_S}{_PARTICLE}|{_S}(?:DE|DA|DO|DOS|DAS|DEL))?{_S}{_CAP}(?:(?:{_S}{_PARTICLE}|{_S}(?:DE|DA|DO|DOS|DAS|DEL))?{_S}{_CAP}){{0,2}}")
 _WORDS_BEFORE = re.compile(r"[^\W\d_]+|[@#]")

@@ -11,7 +11,7 @@ RUNNING = (
     r"(?:SIMULADO \d{4}(?:\s+SIMULADO \d{4})*"
     r"|\dº [Dd][Ii][Aa] [-–] Caderno \d{1,2} [-–] \w+"
     r"|\w{2} \| \dº DIA \| CADERNO \d{1,2} \| \w+(?: \| \d{1,3})?"
-    r"|[A-ZÀ-Ú][A-ZÀ-Ú ,]{3,}\bTECNOLOGIAS(?: • P[áa]g[i1]na \d{1,3})?"
+    r"|[A-ZÀ-Ú][A-ZÀ-Ú ,]{3,60}\bTECNOLOGIAS(?: • P[áa]g[i1]na \d{1,3})?"
     r"|\d{1,3} {2,}[^\W\d][^\n\d]{3,40} - PROVA \w+"
     r"|\*[A-Z]{2}\d{2,6}[A-Z]{2}\d{1,4}\*)"
 )
@@ -206,16 +206,21 @@ class Reader:
             parts, out, at = self.traces(text), [], 0
             if not parts:
                 break
-            for _, b, e, r in parts:
+            for kind, b, e, r in parts:
                 if b >= at:
                     out += [text[at:b], r]
                     at = e
-            text = "".join(out) + text[at:]
+                    if kind == "linha" and "\n" in text:
+                        out.append(_CUT)
+            text = _REJOIN.sub(" ", "".join(out) + text[at:]).replace(_CUT, "")
         return paragraphs(text)
 
 
+#: Where a running line stood; a sentence it interrupted goes on.
+_CUT = "\ue020"
+_REJOIN = re.compile(r"(?<![.!?:;\s])[ \t]*\n[ \t]*\ue020[ \t]*\n[ \t]*(?=[^\W\d_])")
 #: A broken word whose second half follows a running line.
-_BROKEN_BY_LINE = re.compile(rf"([^\W\d_]{{1,30}})[-¬‐] ?((?:\n\s*(?:{PAGE_NUMBER}|{RUNNING})?[ \t]*(?=\n))+)\n[ \t]*([a-zà-ÿ]{{1,30}})")
+_BROKEN_BY_LINE = re.compile(rf"([^\W\d_]{{1,30}})[-¬‐] ?((?:\n[ \t]*(?:{PAGE_NUMBER}|{RUNNING})?[ \t]*(?=\n)){{1,6}})\n[ \t]*([a-zà-ÿ]{{1,30}})")
 
 
 def _candidate(word: str) -> bool:
@@ -231,7 +236,7 @@ def _candidate(word: str) -> bool:
 
 
 #: Costs of the paragraph choice.
-_JOIN_AFTER_STOP, _JOIN_BEFORE_CAPITAL, _BREAK_INSIDE, _SHORT = 1.0, 0.6, 1.6, 0.8
+_JOIN_AFTER_STOP, _JOIN_BEFORE_CAPITAL, _BREAK_INSIDE, _SHORT = 1.0, 0.6, 2.5, 0.8
 _OWN_LINE = re.compile(r"^\s*(?:\||\d{1,2}[.)] |[-•*] |[A-Ea-e][.)] |#)")
 
 
@@ -248,7 +253,8 @@ def paragraphs(text: str) -> str:
     best = {True: 0.0, False: 1e9}
     back: list[dict[bool, bool]] = []
     for a, b in zip(lines, lines[1:]):
-        fixed = not a.strip() or not b.strip() or _OWN_LINE.match(a) or _OWN_LINE.match(b)
+        verse = a.rstrip()[-1:] == "," and len(a) < 40 and len(b) < 40 and max(len(a), len(b)) < 0.7 * widest
+        fixed = verse or not a.strip() or not b.strip() or _OWN_LINE.match(a) or _OWN_LINE.match(b)
         ended = a.rstrip()[-1:] in ".!?:;…”\"" if a.strip() else True
         capital = b.lstrip()[:1].isupper() or b.lstrip()[:1] in "“\"¿¡—"
         join = 9.0 if fixed else _JOIN_AFTER_STOP * ended + _JOIN_BEFORE_CAPITAL * capital + _SHORT * (len(a) < 0.5 * widest)
