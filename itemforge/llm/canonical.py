@@ -33,6 +33,9 @@ STABLE = frozenset("ªº²³¹⁰ⁱ⁴⁵⁶⁷⁸⁹⁺⁻⁼⁽⁾ⁿ₀₁
 GREEK_FORMULA = frozenset("ανρικυχ")
 
 
+_OPERATORS = frozenset("=/+−-·×^_<>≤≥")
+
+
 def _compatibility_class() -> str:
     """Code points of the compatibility blocks whose quick check is not "yes", as ranges of a character class."""
     out, begin = [], None
@@ -125,8 +128,10 @@ class Canonizer:
         if text[i] in GREEK_FORMULA:
             return text[i] in "ο"
         if len(word) > 1:
-            return all("Ѐ" <= c <= "ԯ" or c in "οϲ" for c in word) is False or len(word) <= 2
-        return text[i] not in "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ" or not text[e : e + 1].isspace() or text[e : e + 3].strip()[:1] not in ("=", "/")
+            return not all("Ѐ" <= c <= "ԯ" or c in "οϲ" for c in word) or len(word) <= 2
+        if text[i] in "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ":  # a capital Greek letter alone is a symbol where an operator stands beside it
+            return not (text[:b].rstrip()[-1:] in _OPERATORS or text[e : e + 3].lstrip()[:1] in _OPERATORS)
+        return True
 
     def canonical(self, text: str | None) -> str | None:
         """Unchanged text with canonical segments spliced in."""

@@ -32,6 +32,8 @@ LOWER = frozenset("abcdefghijklmnopqrstuvwxyzáàâãäçéèêëíìîïñóò
 USUAL_LOWER = frozenset("abcdefghijklmnopqrstuvwxyzáàâãçéêíñóôõúü")
 #: Readings that words of the three languages use; the rest of LETTERS is only garbled, never restored by one character.
 READINGS = frozenset("áàâãçéêíñóôõúüÁÀÂÃÇÉÊÍÑÓÔÕÚÜºª°²³")
+#: Capitals that none of the three languages uses.
+FOREIGN_UPPER = frozenset("ÈÌÒÙÛÎËÏÝÞÅÆØÐ")
 #: Readings that win a tie between pairs.
 FREQUENT = frozenset("áãçéêíóúàâõº°²À")
 
@@ -130,7 +132,7 @@ class Repairer:
     def _wide_holds(text: str, b: int, e: int, c: str) -> bool:
         """Correct capitals followed by a sign ("AMANHÃ©") are no garbling; neither are whole Cyrillic words."""
         before = text[b - 1] if b else " "
-        if before.isupper() and c.islower() and (e == len(text) or not text[e].isalpha() or text[e].isupper()):
+        if before.isupper() and b > 1 and text[b - 2].isupper() and c.islower() and (e == len(text) or not text[e].isalpha() or text[e].isupper()):
             return False
         seq = text[b:e]
         if all("Ѐ" <= x <= "ӿ" for x in seq):
@@ -146,13 +148,18 @@ class Repairer:
         after = text[i + 1] if i + 1 < len(text) else " "
         if "Ѐ" <= c <= "ӿ":
             near_latin = before in LOWER or after in LOWER or before.isascii() and before.isalpha() or after.isascii() and after.isalpha()
+            if c == "у" and before in "aeiouáéíóúâêô" and after.isalpha() and after.isascii() and after not in "aeiou":
+                return 2  # the place of an accented o, where no y stands
             if c in LOOKALIKE:
                 return 1
-            return 2 if near_latin else 1
+            alone = not any("Ѐ" <= x <= "ӿ" for x in (before, after))
+            return 2 if near_latin or alone else 1
         inside = before in LOWER or (after in LOWER and (before in " \n(“\"" or before.isalpha()))
         if c.isalpha():
             if c in USUAL_LOWER:
                 return 0
+            if c in FOREIGN_UPPER and not (before.isupper() and after.isupper()):
+                return 2
             if c.isupper():
                 if before in LOWER and (after in LOWER or not after.isalpha()):
                     return 2
