@@ -130,7 +130,7 @@ class Canonizer:
         if len(word) > 1:
             return not all("Ѐ" <= c <= "ԯ" or c in "οϲ" for c in word) or len(word) <= 2
         if text[i] in "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ":  # a capital Greek letter alone is a symbol where an operator stands beside it
-            return not (text[:b].rstrip()[-1:] in _OPERATORS or text[e : e + 3].lstrip()[:1] in _OPERATORS)
+            return not (text[max(0, b - 3) : b].rstrip()[-1:] in _OPERATORS or text[e : e + 3].lstrip()[:1] in _OPERATORS)
         return True
 
     def canonical(self, text: str | None) -> str | None:

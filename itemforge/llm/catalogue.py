@@ -46,9 +46,9 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Subjects that at least two sentences of a record treat."""
-    df = table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO")
+    df = table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO", "TX_IDIOMA")
     labels = table(spark, sf, "subject_labels", "id_linha", "assunto")
-    sample = subjects.labelled_sample(df, "ID_LINHA", "DESC_ENUNCIADO", labels, "id_linha", "assunto", subjects.FIT_DOCUMENTS)
+    sample = subjects.labelled_sample(df, "ID_LINHA", "DESC_ENUNCIADO", labels, "id_linha", "assunto", subjects.FIT_DOCUMENTS, "TX_IDIOMA")
     return subjects.subject_areas(df, "ID_LINHA", "DESC_ENUNCIADO", subjects.fit_topics(spark, sample)).select("id_linha", "assunto")
 
 

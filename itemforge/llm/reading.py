@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from itemforge.llm.arrow import map_rows, once
 from itemforge.llm.sentences import Splitter
@@ -156,12 +157,21 @@ def fit_levels(documents: list[tuple[list[list[str]], str]]) -> LevelModel:
     return model
 
 
-def labelled_sample(df: DataFrame, id_col: str, text_col: str, labels: DataFrame, label_id: str, label_col: str, most: int) -> list[tuple[str, list[str]]]:
-    """(text, labels) of at most ``most`` labelled rows with text, chosen by hash of the key; the sample is bounded."""
+def labelled_sample(df: DataFrame, id_col: str, text_col: str, labels: DataFrame, label_id: str, label_col: str, most: int, strata: str | None = None) -> list[tuple[str, list[str]]]:
+    """(text, labels) of at most ``most`` labelled rows with text, chosen by hash of the key; the sample is bounded.
+
+    With ``strata``, a column such as the language label, up to ``most`` / 3 rows come from each of its values, so that
+    rare ones are learned too; eight times ``most`` labelled keys are looked at for that.
+    """
     marks = labels.select(F.col(f"`{label_id}`").alias("k"), F.col(f"`{label_col}`").alias("g")).where("k is not null and g is not null")
-    chosen = marks.groupBy("k").agg(F.array_sort(F.collect_set("g")).alias("g")).orderBy(F.xxhash64("k"), "k").limit(2 * most)
-    text = df.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").alias("t")).where(F.length("t") > 0)
-    rows = text.join(F.broadcast(chosen), "k").orderBy(F.xxhash64("k"), "k").limit(most).collect()
+    chosen = marks.groupBy("k").agg(F.array_sort(F.collect_set("g")).alias("g")).orderBy(F.xxhash64("k"), "k").limit((8 if strata else 2) * most)
+    kind = F.col(f"`{strata}`") if strata else F.lit(None).cast("string")
+    text = df.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").alias("t"), kind.alias("s")).where(F.length("t") > 0)
+    found = text.join(F.broadcast(chosen), "k")
+    if strata:
+        turn = F.row_number().over(Window.partitionBy("s").orderBy(F.xxhash64("k"), "k"))
+        found = found.withColumn("r", turn).where(F.col("r") <= most // 3)
+    rows = found.orderBy(F.xxhash64("k"), "k").limit(most).select("t", "g").collect()
     return [(r.t, list(r.g)) for r in rows]
 
 
