@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+class Shared:
+    """A broadcast value of bounded size under a name of its own, by which workers tell it from others."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.name, self.box = uuid.uuid4().hex, spark.sparkContext.broadcast(value)
+
+    @property
+    def value(self):
+        return self.box.value
+
+
 _BUILT: dict[tuple, object] = {}
 
 
-def once(held, build: Callable):
-    """``build(held.value)`` kept for all tasks of a Python worker; a new broadcast replaces what an older one left."""
-    key = (build, getattr(held, "_jid", None) or id(held))
+def once(held: Shared, build: Callable):
+    """``build(held.value)`` kept for all tasks of a Python worker; a new value replaces what an older one left."""
+    key = (build, held.name)
     if key not in _BUILT:
         for old in [k for k in _BUILT if k[0] is build]:
             del _BUILT[old]

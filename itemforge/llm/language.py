@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itemforge.llm.arrow import map_rows, once
+from itemforge.llm.arrow import Shared, map_rows, once
 from itemforge.llm.canonical import Canonizer
 from itemforge.llm.scan import join_broken, strip_running
 
@@ -225,7 +225,7 @@ def passages(df: DataFrame, id_col: str, fields: list[str], words: dict[str, Cou
 
     Null, empty and wordless fields give no row; an undecidable field gives ``und`` with confidence 0.
     """
-    held = df.sparkSession.sparkContext.broadcast(words)
+    held = Shared(df.sparkSession, words)
 
     def make():
         tell = Classifier(once(held, Profile))
@@ -246,7 +246,7 @@ def language_cases(df: DataFrame, id_col: str, label_col: str, fields: list[str]
 
     A null, empty or unknown label differs from every language; no row comes twice for a row of ``df``; no shuffle.
     """
-    held = df.sparkSession.sparkContext.broadcast(words)
+    held = Shared(df.sparkSession, words)
 
     def make():
         tell = Classifier(once(held, Profile))

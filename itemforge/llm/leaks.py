@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itemforge.llm.arrow import map_rows, once
+from itemforge.llm.arrow import Shared, map_rows, once
 
 SEED, RUN = 6, 12
 BLOCK_ITEMS = 5_000
@@ -149,7 +149,7 @@ def leaked_passages(docs: DataFrame, doc_id: str, text: str, items: DataFrame, i
 
         counted = map_rows(source.select("t"), count, "k int, n bigint").groupBy("k").agg(F.sum("n").alias("n")).collect()
         rarity = {int(keys[r.k]): r.n for r in counted}
-        held = spark.sparkContext.broadcast((ids, codes, rarity))
+        held = Shared(spark, (ids, codes, rarity))
 
         def join(held=held):
             seeds, words = once(held, Seeds), Words()

@@ -23,10 +23,10 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itemforge.llm.arrow import map_rows, once
+from itemforge.llm.arrow import Shared, map_rows, once
 
 TYPES = ("email", "phone", "id", "address", "name")
-FIT_DOCUMENTS = 800
+FIT_DOCUMENTS = 2000
 EPOCHS = 4
 LEXICON_MOST = 50_000
 _S = "[ \xa0\u2007\u2009\u202f]"
@@ -37,7 +37,7 @@ _AT = rf"(?:{_S}?@{_S}?|{_S}?[(\[{{<]{_S}?(?i:at|arroba|a){_S}?[)\]}}>]{_S}?|{_S
 _DOT = rf"(?:\.|{_S}?[(\[]{_S}?(?i:dot|ponto|punto){_S}?[)\]]{_S}?|{_S}(?i:dot|ponto|punto){_S})"
 _AT_HINT = re.compile(r"@|(?i:arroba|[(\[{<] ?a|\bat\b)")
 EMAIL = re.compile(rf"(?<![\w.+@-])[A-Za-z0-9][\w.+-]*{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*{_DOT}[A-Za-z]{{2,}}(?![\w@])")
-NUMBER = re.compile(rf"(?<![\w@/$€£.,-])(?:\+\d{{1,3}}{_S}?[-.]?)?(?:\(\d{{2,4}}\){_S}?)?\d(?:[\d.\-/]|{_S}(?=\d))*\d(?:-?[A-Z](?!\w))?(?!\w)")
+NUMBER = re.compile(rf"(?:(?<![\w@])(?=[+(])|(?<![\w@/$€£.,-]))(?:\+\d{{1,3}}{_S}?[-.]?)?(?:\(\d{{2,4}}\){_S}?)?\d(?:[\d.\-/]|{_S}(?=\d))*\d(?:-?[A-Z](?!\w))?(?!\w)")
 STREET = (
     r"(?:[Rr]ua|RUA|R\.|[Aa]venida|AVENIDA|[Aa]v\.|Avda\.(?: de)?|[Tt]ravessa|TRAVESSA|Trav\.|[Aa]lameda|ALAMEDA|Al\.|[Pp]raça|Pça\.|[Ll]argo|[Ee]strada|[Rr]odovia|"
     r"[Cc]alle|CALLE|C/|[Pp]laza|PLAZA|Pza\.|[Pp]aseo|[Cc]amino|[Cc]arrera|[Rr]onda)"
@@ -58,6 +58,9 @@ PHONE_SHAPES = frozenset({
 #: Words after which a number is no person's.
 NOT_PERSONAL = frozenset({"isbn", "issn", "protocolo", "lote", "item", "ítem", "protocol", "batch", "nota", "edital", "processo", "expediente", "doi"})
 
+#: Where the fit starts, so that a corpus of a few documents has a model too.
+PRIOR = {"email": 1, "address": 1, "phone|t=True": 1, "id|t=True": 1, "name|gf=TrueTrue": 1, "phone|bad=True": -3, "id|bad=True": -3, "name|l=instituto": -2}
+
 
 def plain(word: str) -> str:
     """Lower case without accents."""
@@ -120,7 +123,7 @@ def features(text: str, b: int, e: int, kind: str, names: Names, hide: bool = Fa
         out.append(f"{kind}|bad={any(w in NOT_PERSONAL for w in left)}")
     if kind in ("phone", "id"):
         s = shape(span)
-        out += [f"{kind}|s={s}", f"{kind}|n={sum(map(str.isdigit, span))}", f"{kind}|+={span[0] == '+'}", f"{kind}|(={'(' in span}", f"{kind}|sep={''.join(sorted(set(re.sub(r'[0-9A-Z]', '', s))))}"]
+        out += [f"{kind}|t={s in (ID_SHAPES if kind == 'id' else PHONE_SHAPES)}", f"{kind}|s={s}", f"{kind}|n={sum(map(str.isdigit, span))}", f"{kind}|+={span[0] == '+'}", f"{kind}|(={'(' in span}", f"{kind}|sep={''.join(sorted(set(re.sub(r'[0-9A-Z]', '', s))))}"]
     elif kind == "name":
         tokens = re.findall(_CAP, span)
         given = plain(tokens[0]) in names.given
@@ -188,7 +191,7 @@ def fit_weights(texts: list[str], names: Names, epochs: int = EPOCHS) -> dict[st
             gold = seed_labels(t, spans, names)
             full = [features(t, *s, names) for s in spans]
             data.append(([*spans], full, [features(t, *s, names, hide=True) for s in spans], {i for i, s in enumerate(spans) if s in gold}))
-    weights: Counter[str] = Counter()
+    weights: Counter[str] = Counter(PRIOR)
     summed: Counter[str] = Counter()
     step = 0
     for _ in range(epochs):
@@ -276,7 +279,7 @@ def fit_model(df: DataFrame, id_col: str, text_col: str, most: int = FIT_DOCUMEN
 
 def personal_spans(df: DataFrame, id_col: str, text_col: str, model: tuple[Names, dict[str, float]]) -> DataFrame:
     """(doc_id, tipo, inicio, fim) of every span; positions count code points; no shuffle."""
-    held = df.sparkSession.sparkContext.broadcast(model)
+    held = Shared(df.sparkSession, model)
 
     def make():
         find = once(held, Finder)
@@ -293,7 +296,7 @@ def personal_spans(df: DataFrame, id_col: str, text_col: str, model: tuple[Names
 
 def masked_texts(df: DataFrame, id_col: str, text_col: str, model: tuple[Names, dict[str, float]]) -> DataFrame:
     """(doc_id, texto) of every row, spans replaced by placeholders; null stays null; no shuffle."""
-    held = df.sparkSession.sparkContext.broadcast(model)
+    held = Shared(df.sparkSession, model)
 
     def make():
         find = once(held, Finder)

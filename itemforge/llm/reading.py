@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from itemforge.llm.arrow import map_rows, once
+from itemforge.llm.arrow import Shared, map_rows, once
 from itemforge.llm.sentences import Splitter
 
 LEVELS = ("basico", "medio", "avancado")
@@ -177,7 +177,7 @@ def labelled_sample(df: DataFrame, id_col: str, text_col: str, labels: DataFrame
 
 def reading_levels(df: DataFrame, id_col: str, text_col: str, model: LevelModel) -> DataFrame:
     """(id_linha, nivel, confianca) of every row whose text is neither null nor empty; no shuffle."""
-    held = df.sparkSession.sparkContext.broadcast(model)
+    held = Shared(df.sparkSession, model)
 
     def make():
         known, cut = once(held, _same), Splitter()

@@ -17,7 +17,7 @@ RUNNING = (
 )
 RUNNING_LINE = re.compile(rf"^[ \t]*(?:{PAGE_NUMBER}|{RUNNING})[ \t]*$", re.M)
 #: The same, set at the end of a line without its own line end.
-RUNNING_TAIL = re.compile(rf"(?<=[^\s])\s+{RUNNING}[ \t]*$", re.M)
+RUNNING_TAIL = re.compile(rf"(?<=[^\s])[ \t]+{RUNNING}[ \t]*$", re.M)
 #: A word broken at the end of a line.
 BROKEN = re.compile(r"([^\W\d_]{1,30})[-¬‐] ?\n[ \t]*([^\W\d_]{1,30})")
 _HYPHEN_END = re.compile(r"[-¬‐] ?\n")
@@ -164,7 +164,8 @@ class Reader:
                 out += [("quebra", m.start(1), m.end(2), m.group(1) + m.group(2)) for m in BROKEN.finditer(text)]
                 out += [("quebra", m.start(1), m.end(3), m.group(1) + m.group(3)) for m in _BROKEN_BY_LINE.finditer(text)]
         if _MAYBE.search(text):
-            out += [("linha", m.start(), m.end(), "") for m in RUNNING_TAIL.finditer(text)]
+            own = [(b, e) for kind, b, e, _ in out if kind == "linha"]
+            out += [("linha", m.start(), m.end(), "") for m in RUNNING_TAIL.finditer(text) if not any(b <= m.start() < e for b, e in own)]
         covered = sorted((b, e) for _, b, e, _ in out)
         at = 0
         skip = [m.span() for m in _SKIPPED.finditer(text)] if "$" in text or "@" in text or "http" in text else []
@@ -332,9 +333,9 @@ def scan_traces(df, id_col: str, fields: list[str], lexicon: Lexicon):
     """
     from pyspark.sql import functions as F
 
-    from itemforge.llm.arrow import map_rows, once
+    from itemforge.llm.arrow import Shared, map_rows, once
 
-    held = df.sparkSession.sparkContext.broadcast(lexicon)
+    held = Shared(df.sparkSession, lexicon)
 
     def make():
         reader = once(held, Reader)

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemforge.llm.arrow import map_rows, once
+from itemforge.llm.arrow import Shared, map_rows, once
 from itemforge.llm.reading import labelled_sample
 from itemforge.llm.sentences import Splitter
 
@@ -59,6 +59,7 @@ def fit_topics(spark: SparkSession, sample: list[tuple[str, list[str]]], steps:
     k = len(SUBJECTS) + SHARED
     if not sample:
         return TopicModel({}, np.ones(k) / k)
+    least = min(LEAST_DOCUMENTS, 1 + len(sample) // 100)
     rows = [(t, [SUBJECTS.index(g) for g in gs if g in SUBJECTS]) for t, gs in sample]
     parts = max(1, min(spark.sparkContext.defaultParallelism, len(rows) // 100))
     texts = spark.createDataFrame(rows, "t string, g array<int>").repartition(parts)
@@ -74,7 +75,7 @@ def fit_topics(spark: SparkSession, sample: list[tuple[str, list[str]]], steps:
         return work
 
     bags = map_rows(texts, bag, "w array<string>, n array<int>, g array<int>").cache()
-    spread = {r.w: r.n for r in bags.select(F.explode("w").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_DOCUMENTS).collect()}
+    spread = {r.w: r.n for r in bags.select(F.explode("w").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).collect()}
     rng = np.random.default_rng(7)
     words = sorted(spread)
     counts = {w: rng.uniform(0.5, 1.5, k) for w in words}
@@ -176,7 +177,7 @@ class TopicModel:
 
 def subject_areas(df: DataFrame, id_col: str, text_col: str, model: TopicModel) -> DataFrame:
     """(id_linha, assunto, frases, proporcao) of every document, one row for each of its subjects; no shuffle."""
-    held = df.sparkSession.sparkContext.broadcast(model)
+    held = Shared(df.sparkSession, model)
 
     def make():
         known, cut = once(held, _same), Splitter()
