@@ -26,8 +26,8 @@ LOOKALIKES = dict(zip(
     "аеорсухіјѕһԁԛԝѵӏАВЕКМНОРСТУХІЈЅԌ" "αονρϲιυκχΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹ" "ɑɡ",
     "aeopcyxijshdqwvlABEKMHOPCTYXIJSG" "aovpciukxABEZHIKMNOPTYXC" "ag",
 ))
-INVISIBLE = "­͏؜᠎​-‏‪-‮⁠-⁤﻿︀-️"
-BLANKS = "   -   　"
+INVISIBLE = "\u00ad͏\u061c\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff︀-️"
+BLANKS = "\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000"
 #: Signs that compatibility normalisation would change but that are stable here.
 STABLE = frozenset("ªº²³¹⁰ⁱ⁴⁵⁶⁷⁸⁹⁺⁻⁼⁽⁾ⁿ₀₁₂₃₄₅₆₇₈₉₊₋₌₍₎…´¨¯¸˙µ¼½¾ℓ№™℃℉′″‴‼⁇⁈⁉")
 GREEK_FORMULA = frozenset("ανρικυχ")

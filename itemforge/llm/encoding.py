@@ -137,7 +137,7 @@ class Repairer:
         seq = text[b:e]
         if all("Ѐ" <= x <= "ӿ" for x in seq):
             return False
-        if seq[0] in "ÃÂ" and seq[1] in "€£¥" and (e == len(text) or text[e] in "  0123456789"):
+        if seq[0] in "ÃÂ" and seq[1] in "€£¥" and (e == len(text) or text[e] in " \u00a00123456789"):
             return before.islower()
         return True
 

@@ -26,7 +26,7 @@ SEED, RUN = 6, 12
 BLOCK_ITEMS = 5_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 _WORD = re.compile(r"[^\W_]+")
-_INSIDE = re.compile("[̀-ͯ­​-‏⁠﻿]")
+_INSIDE = re.compile("[̀-ͯ\u00ad\u200b-\u200f\u2060\ufeff]")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 

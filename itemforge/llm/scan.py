@@ -194,6 +194,49 @@ class Reader:
             out.append(("sinal", b, e, odd[w]))
         return sorted(out, key=lambda x: x[1:3])
 
+    def respaced(self, text: str) -> str:
+        """Joint segmentation of unknown words and their neighbours: glued words come apart, torn words together.
+
+        A path of lexicon words through the letters of an unknown word, or of it and the word beside it, replaces them if
+        its cost (the sum of the words' surprise and a price for each blank set or dropped) is below what the letters
+        cost as an unknown word.
+        """
+        import math
+
+        words, total = self.lexicon.words, self.lexicon.total
+
+        def surprise(w: str) -> float:
+            return math.log(total / words[w])
+
+        def split(w: str) -> list[str] | None:
+            best: list[tuple[float, list[str]] | None] = [(0.0, [])] + [None] * len(w)
+            for e in range(1, len(w) + 1):
+                for b in range(max(0, e - 24), e):
+                    if best[b] is not None and (p := w[b:e]) in words and (len(p) > 1 or p in "aoeéày"):
+                        cost = best[b][0] + surprise(p) + 3.0
+                        if best[e] is None or cost < best[e][0]:
+                            best[e] = (cost, [*best[b][1], p])
+            found = best[-1]
+            return found[1] if found and found[0] < 3.5 * len(w) and len(found[1]) < 4 else None
+
+        out, tokens = [], re.split(r"(\s+)", text)
+        k = 0
+        while k < len(tokens):
+            t = tokens[k]
+            bare = t.strip(".,;:!?()“”\"")
+            if bare.islower() and bare.isalpha() and bare not in words and len(bare) > 1 and bare[::-1] not in words:
+                if k + 2 < len(tokens) and t == bare and "\n" not in tokens[k + 1]:
+                    after = tokens[k + 2].strip(".,;:!?()“”\"")
+                    if after.islower() and bare + after in words:
+                        out.append(bare + tokens[k + 2])
+                        k += 3
+                        continue
+                if len(bare) > 5 and not self.lexicon.triples.get("#" + bare) and (parts := split(bare)):
+                    t = t.replace(bare, " ".join(parts))
+            out.append(t)
+            k += 1
+        return "".join(out)
+
     def clean(self, text: str | None) -> str | None:
         """The canonical form on which traces are sought."""
         return text if not text or text.isascii() else self.form.canonical(self.form.garbled.restore(text))
@@ -214,7 +257,7 @@ class Reader:
                     if kind == "linha" and "\n" in text:
                         out.append(_CUT)
             text = _REJOIN.sub(" ", "".join(out) + text[at:]).replace(_CUT, "")
-        return paragraphs(text)
+        return paragraphs(self.respaced(text))
 
 
 #: Where a running line stood; a sentence it interrupted goes on.

@@ -47,6 +47,7 @@ def test_traces(reader, text, kinds):
 
 def test_repair(reader):
     assert reader.repair("o menino leu so-\nbre a\n- 24 -\ntaxa de jur0s") == "o menino leu sobre a taxa de juros"
+    assert reader.repair("o narra dor leu sobreataxa de juros") == "o narrador leu sobre a taxa de juros"
     assert reader.repair(None) is None and reader.repair("") == ""
     assert scan.paragraphs("Texto longo da primeira linha que\ncontinua aqui.\nOutro parágrafo começa.") == "Texto longo da primeira linha que continua aqui.\nOutro parágrafo começa."
     verse = "Texto I\nvento de Alto,\nbarco sem cor,\nnoite de Serra."
