@@ -51,7 +51,7 @@ def scripts(line: list[Piece]) -> str:
     level = next((p.base for p in spans if p.size >= SCRIPT * tall), 0.0)
     out, end, mode = "", None, ""
     for p in line:
-        text = p.text if p.kind != "span" else p.text.replace(" ", "")
+        text = p.text if p.kind != "span" else p.text.replace("\u200a", "")
         now = ""
         if p.kind == "span" and p.size < SCRIPT * tall and text.strip():
             now = "^" if p.base < level - SHIFT else "_" if p.base > level + SHIFT else ""
@@ -194,7 +194,7 @@ def page_texts(pages: DataFrame, blocks: DataFrame, lines: DataFrame, spans: Dat
     text = placed(spans, "span", F.col("text"), F.col("size").cast("double").alias("size"), F.col("base").cast("double").alias("base"))
     flat = drawings.where("y1 - y0 < 1.5 and x1 - x0 >= 2")
     strokes = placed(flat, "bar", F.lit("").alias("text"), F.lit(0.0).alias("size"), F.lit(0.0).alias("base"))
-    marks = placed(tables, "table", F.format_string("%d:%d", F.col("page_no").cast("int"), F.col("tbl_no").cast("int")).alias("text"), F.lit(0.0).alias("size"), F.lit(0.0).alias("base"))
+    marks = placed(tables, "table", F.format_string("\ue010%d:%d\ue011", F.col("page_no").cast("int"), F.col("tbl_no").cast("int")).alias("text"), F.lit(0.0).alias("size"), F.lit(0.0).alias("base"))
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = list(pdf.itertuples(index=False))

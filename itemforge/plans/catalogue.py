@@ -439,3 +439,63 @@ def table_markdown(spark, sf):
     n, r = table(spark, sf, "nation"), table(spark, sf, "region")
     cells = F.array_sort(F.collect_list(F.struct(F.col("n_nationkey").alias("o"), F.col("n_name").alias("n"), F.col("n_nationkey").cast("string").alias("k"))))
     return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).groupBy("r_name").agg(cells.alias("c")).select("r_name", show("c").alias("markdown"))
+
+
+@query("""WITH v AS (SELECT ano, sheet_no, a FROM dict_cells, (SELECT unnest(['CN', 'CH', 'LC', 'MT']) AS a) WHERE contains(upper(value), 'CO_PROVA_' || a))
+          SELECT ano, a AS sg_area, min(sheet_no) AS sheet_no FROM v GROUP BY ALL""")
+def first_sheet_wins(spark, sf):
+    """The first sheet of each year that holds an area's block of codes."""
+    rows = dictionary.code_rows(table(spark, sf, "dict_cells"))
+    return rows.groupBy("ano", "sg_area").agg(F.min("sheet_no").alias("sheet_no"))
+
+
+@query("""WITH c AS (SELECT ID_LINHA, (coalesce(DESC_ALTER_A, '') = '')::INT + (coalesce(DESC_ALTER_B, '') = '')::INT + (coalesce(DESC_ALTER_C, '') = '')::INT + (coalesce(DESC_ALTER_D, '') = '')::INT
+                 + (coalesce(DESC_ALTER_E, '') = '')::INT AS n FROM pipeline) SELECT ID_LINHA, CAST(n AS INTEGER) AS vazias, n / 5.0 > 0.15 AS recusada FROM c""")
+def empty_cell_gate(spark, sf):
+    """Rows of cells refused for their share of empty cells."""
+    df = table(spark, sf, "pipeline", "ID_LINHA", *publish.TEXTS[1:])
+    empty = F.size(F.filter(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in publish.TEXTS[1:]]), lambda c: c == ""))
+    return df.select("ID_LINHA", empty.alias("vazias"), (empty / 5.0 > 0.15).alias("recusada"))
+
+
+@query("""WITH l AS (SELECT ID_LINHA, unnest(string_split(DESC_ENUNCIADO, chr(10))) AS s FROM pipeline)
+          SELECT ID_LINHA, count(*) AS n_linhas, count(*) FILTER (regexp_matches(trim(s), '^[0-9]{1,2}$') OR regexp_matches(upper(s), '\\bP[ÁA]GINA\\s*[0-9]+')) AS n_pagina FROM l GROUP BY ID_LINHA""")
+def line_drop(spark, sf):
+    """Lines of statements, and how many are page numbers."""
+    lines = table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO").where("DESC_ENUNCIADO is not null").select("ID_LINHA", F.explode(F.split("DESC_ENUNCIADO", "\n")).alias("s"))
+    page = F.trim("s").rlike(r"^[0-9]{1,2}$") | F.upper("s").rlike(r"\bP[ÁA]GINA\s*[0-9]+")
+    return lines.groupBy("ID_LINHA").agg(F.count(F.lit(1)).alias("n_linhas"), F.count(F.when(page, 1)).alias("n_pagina"))
+
+
+@query()
+def glued_command(spark, sf):
+    """Formulas of alternatives with glued commands split and formulas marked."""
+
+    @F.pandas_udf("string")
+    def mark(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: Q.format_alternative(Q.split_glued(t.replace("\\pi", "\\pih").replace("\\pih \\", "\\pi \\"))), na_action="ignore")
+
+    return table(spark, sf, "pipeline", "ID_LINHA", "DESC_ALTER_A").select("ID_LINHA", mark("DESC_ALTER_A").alias("texto"))
+
+
+@query("""WITH w AS (SELECT ID_LINHA, DESC_ALTER_A AS t, regexp_extract_all(regexp_replace(DESC_ALTER_A, '[_^]\\{[^{}]*\\}|\\\\[a-zA-Z]+', ' ', 'g'), '[A-Za-zÀ-ÿ]{3,}') AS w FROM pipeline WHERE DESC_ALTER_A IS NOT NULL AND NOT contains(DESC_ALTER_A, chr(92))),
+               k AS (SELECT ID_LINHA, list_filter(w, lambda x: NOT list_contains(['log', 'sen', 'cos', 'tg', 'rad', 'det', 'max', 'min', 'lim', 'mod'], lower(x))) AS w FROM w)
+          SELECT ID_LINHA, len(w) > 1 OR len(list_filter(w, lambda x: length(x) > 3)) > 0 AS prosa FROM k""")
+def prose_test(spark, sf):
+    """Whether an alternative without commands is prose."""
+
+    @F.pandas_udf("boolean")
+    def test(s: pd.Series) -> pd.Series:
+        return s.map(Q.has_prose)
+
+    df = table(spark, sf, "pipeline", "ID_LINHA", "DESC_ALTER_A").where("DESC_ALTER_A is not null and not contains(DESC_ALTER_A, '\\\\')")
+    return df.select("ID_LINHA", test("DESC_ALTER_A").alias("prosa"))
+
+
+@query("""WITH b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity AS size, max(l_quantity) OVER (PARTITION BY l_orderkey) AS base FROM lineitem)
+          SELECT l_orderkey, count(*) AS n, count(*) FILTER (size < 0.85 * base) AS n_scripts FROM b GROUP BY l_orderkey""")
+def script_tokens(spark, sf):
+    """Tokens of a line smaller than 85 % of its largest, here quantities of an order."""
+    df = table(spark, sf, "lineitem", "l_orderkey", "l_quantity")
+    base = df.groupBy("l_orderkey").agg(F.max("l_quantity").alias("b"), F.collect_list("l_quantity").alias("q"))
+    return base.select("l_orderkey", F.size("q").cast("bigint").alias("n"), F.size(F.filter("q", lambda x: x < 0.85 * F.col("b"))).cast("bigint").alias("n_scripts"))

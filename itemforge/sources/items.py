@@ -21,7 +21,7 @@ def read_items(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", typ
     All columns are read as text and known ones converted, so that one bad value makes a null and not a failure.
     """
     df = spark.read.csv(path, sep=sniff_delimiter(spark, path, encoding), header=True, encoding=encoding, multiLine=True, quote='"', escape='"', nullValue="", emptyValue="")
-    df = df.toDF(*[c.lstrip("﻿").strip() for c in df.columns])
+    df = df.toDF(*[c.lstrip("\ufeff").strip() for c in df.columns])
     return enforce_types(df) if typed else df
 
 
@@ -37,7 +37,7 @@ def write_csv(df: DataFrame, path: str, bom: bool = True) -> None:
     """
     ordered = canonical_order(df)
     if bom and ordered.columns:
-        ordered = ordered.withColumnRenamed(ordered.columns[0], "﻿" + ordered.columns[0])
+        ordered = ordered.withColumnRenamed(ordered.columns[0], "\ufeff" + ordered.columns[0])
     ordered.coalesce(1).write.mode("overwrite").csv(path, sep=";", header=True, quote='"', escape='"', emptyValue="", nullValue="", encoding="UTF-8")
 
 
