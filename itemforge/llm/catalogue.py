@@ -127,4 +127,14 @@ QUERIES: dict[str, Query] = {
     "p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found,
     "p1_repaired": p1_repaired, "p2_passages": p2_passages, "p3_canonical": p3_canonical, "p6_restored": p6_restored, "p7_groups": p7_groups, "p9_report": p9_report, "p10_masked": p10_masked,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p7_found": """WITH w AS (SELECT ID_LINHA AS id, regexp_extract_all(lower(DESC_ENUNCIADO), '[\\pL\\pN]+') AS w FROM pipeline WHERE DESC_ENUNCIADO IS NOT NULL),
+        s AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) AS g FROM w WHERE len(w) >= 3),
+        n AS (SELECT id, count(*) AS c FROM s GROUP BY id),
+        p AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.id < b.id GROUP BY ALL)
+        SELECT id_a, id_b FROM p JOIN n x ON x.id = id_a JOIN n y ON y.id = id_b WHERE i >= 0.5 * (x.c + y.c - i)""",
+    "p9_found": """WITH t AS (SELECT doc_id AS id, 0 AS k, text FROM documents UNION ALL SELECT item_id, 1, text FROM eval_items),
+        w AS (SELECT id, k, regexp_extract_all(strip_accents(lower(regexp_replace(text, '[\\x{AD}\\x{200B}-\\x{200F}\\x{2060}\\x{FEFF}]', '', 'g'))), '[\\pL\\pN]+') AS w FROM t WHERE text IS NOT NULL),
+        s AS (SELECT DISTINCT id, k, unnest(list_transform(range(1, len(w) - 10), lambda j: array_to_string(w[j:j + 11], ' '))) AS g FROM w WHERE len(w) >= 12)
+        SELECT DISTINCT a.id AS doc_id, b.id AS item_id FROM s a JOIN s b ON a.g = b.g AND a.k = 0 AND b.k = 1""",
+}

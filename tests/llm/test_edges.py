@@ -74,3 +74,11 @@ def test_queries_run(spark, name):
     assert df.count() > 0
     if name.endswith("_found"):
         assert df.count() == df.distinct().count()
+
+
+@pytest.mark.parametrize("name", sorted(catalogue.SQL))
+def test_equals_sql(spark, name):
+    from tests import oracle
+
+    sf = "/root/testdata/sf0.01"
+    oracle.compare(spark, oracle.connect(sf), sf, catalogue.QUERIES[name], catalogue.SQL[name])
