@@ -216,7 +216,7 @@ def selected_booklets(spark, sf):
 @query("""WITH n AS (SELECT ID_LINHA, CO_PROVA, CO_POSICAO % 7 AS num FROM pipeline WHERE CO_PROVA IS NOT NULL),
     c AS (SELECT *, sum(CASE WHEN num = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY CO_PROVA ORDER BY ID_LINHA ROWS UNBOUNDED PRECEDING) AS ones,
                  count(*) FILTER (num = 1) OVER (PARTITION BY CO_PROVA) >= 2 AND count(*) FILTER (num = 2) OVER (PARTITION BY CO_PROVA) >= 2 AS twice FROM n)
-    SELECT ID_LINHA, CO_PROVA, num, CASE WHEN twice AND num <= 5 THEN CASE WHEN ones = 1 THEN 0.0 ELSE 1.0 END END AS tp_lingua FROM c""")
+    SELECT ID_LINHA, CO_PROVA, num, CASE WHEN twice AND num <= 5 THEN CAST(CASE WHEN ones = 1 THEN 0.0 ELSE 1.0 END AS DOUBLE) END AS tp_lingua FROM c""")
 def running_variant_flag(spark, sf):
     """Language of repeated question numbers by a running counter."""
     df = table(spark, sf, "pipeline", "ID_LINHA", "CO_PROVA", "CO_POSICAO").where("CO_PROVA is not null")
