@@ -372,16 +372,18 @@ def anchor_line_fold(spark, sf):
 
 # --- text -------------------------------------------------------------------------------------------------------------
 
-_BOOK = """b AS (SELECT CO_PROVA, CO_POSICAO, ID_LINHA, DESC_ENUNCIADO AS t FROM pipeline WHERE CO_PROVA IS NOT NULL AND CO_POSICAO IS NOT NULL AND DESC_ENUNCIADO <> '')"""
+_BOOK = """b AS (SELECT CO_PROVA || '/' || (ID_LINHA // 500) AS doc_id, CO_POSICAO, ID_LINHA FROM pipeline WHERE CO_PROVA IS NOT NULL AND CO_POSICAO IS NOT NULL AND DESC_ENUNCIADO <> '')"""
 
 
 def _books(spark, sf):
+    """Booklets as documents: the records of a code in blocks of 500 keys, so that no document grows with the data."""
     df = table(spark, sf, "pipeline", "CO_PROVA", "CO_POSICAO", "ID_LINHA", "DESC_ENUNCIADO").where("CO_PROVA is not null and CO_POSICAO is not null and DESC_ENUNCIADO <> ''")
     head = F.concat(F.lit("\nQUESTÃO "), F.col("CO_POSICAO").cast("string"), F.lit("\n"), F.regexp_replace("DESC_ENUNCIADO", r"(?U)^\s+", ""))
-    return O.ordered_text(df.withColumn("q", head), ["CO_PROVA"], ["ID_LINHA"], "q", "").withColumnRenamed("CO_PROVA", "doc_id")
+    doc = F.concat_ws("/", F.col("CO_PROVA").cast("string"), F.floor(F.col("ID_LINHA") / 500).cast("string"))
+    return O.ordered_text(df.select(doc.alias("doc_id"), "ID_LINHA", head.alias("q")), ["doc_id"], ["ID_LINHA"], "q", "")
 
 
-@query(f"""WITH {_BOOK} SELECT CO_PROVA AS doc_id, CAST(row_number() OVER (PARTITION BY CO_PROVA ORDER BY ID_LINHA) - 1 AS INTEGER) AS split_no, CO_POSICAO AS co_posicao FROM b""")
+@query(f"""WITH {_BOOK} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY ID_LINHA) - 1 AS INTEGER) AS split_no, CO_POSICAO AS co_posicao FROM b""")
 def split_by_header(spark, sf):
     """Whole booklets put together and split again at their question headers."""
     return segment.split_questions(_books(spark, sf)).select("doc_id", "split_no", "co_posicao")
@@ -397,7 +399,7 @@ def question_bodies(spark, sf):
 @query()
 def booklet_questions(spark, sf):
     """Questions of whole booklets with language, alternatives and flags."""
-    return segment.questions(_books(spark, sf).select(F.col("doc_id").cast("string").alias("doc_id"), "text"))
+    return segment.questions(_books(spark, sf))
 
 
 @query()

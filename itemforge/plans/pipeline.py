@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from itemforge.functions import scalar as S
 from itemforge.operators import booklets, dictionary, publish
 from itemforge.operators.summaries import match_rate
+from itemforge.session import ship
 
 YEARS = tuple(range(2009, 2025))
 
@@ -90,6 +91,7 @@ def main(argv: list[str] | None = None) -> int:
             print(r["year"], r["status"], len(r["actions"]), "applied" if a.apply and folders.apply_plan(r["actions"]) >= 0 else "planned")
         return 0
     spark = SparkSession.builder.appName("itemforge").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    ship(spark)
     bank = str(a.output_dir / "bank")
     if a.text_subset:
         item_files.write_csv(publish.text_subset(item_files.read_bank(spark, bank)), str(a.output_dir / "text_subset"))

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +26,22 @@ def local_session(cpus: int | None = None, app: str = "itemforge") -> SparkSessi
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once for each Spark context, wherever they run and whatever their path is."""
+    sc, root = spark.sparkContext, Path(__file__).resolve().parent
+    if getattr(sc, "_itemforge_sent", False) or not root.is_dir():
+        return
+    target = Path(tempfile.mkdtemp(prefix="itemforge")) / "itemforge.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, Path("itemforge") / p.relative_to(root))
+    sc.addPyFile(str(target))
+    sc._itemforge_sent = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """One table of a data directory, pruned to ``columns`` when given."""
+    ship(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
