@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from itemforge.session import ship
+
 
 class Shared:
     """A broadcast value of bounded size under a name of its own, by which workers tell it from others."""
@@ -43,6 +45,8 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]],
     struct = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship(df.sparkSession)
+
     target = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
