@@ -12,7 +12,7 @@ from itemforge.functions import question as Q
 from itemforge.functions import scalar as S
 from itemforge.operators import booklets, dictionary, lookup, publish, segment, summaries
 from itemforge.operators import windows as O
-from itemforge.session import table
+from itemforge.session import table, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -405,13 +405,13 @@ def booklet_questions(spark, sf):
 @query()
 def page_clean(spark, sf):
     """Documents cleaned as pages are."""
-    return table(spark, sf, "documents", "doc_id", "text").select("doc_id", segment.clean_page(F.col("text")).alias("text"))
+    return texts(spark, sf, "documents", "doc_id", "text").select("doc_id", segment.clean_page(F.col("text")).alias("text"))
 
 
 @query()
 def statement_sanitise(spark, sf):
     """Statements without residue, formulas marked."""
-    return table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO").select("ID_LINHA", segment.sanitize(F.col("DESC_ENUNCIADO")).alias("texto"))
+    return texts(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO").select("ID_LINHA", segment.sanitize(F.col("DESC_ENUNCIADO")).alias("texto"))
 
 
 @query("""SELECT doc_id, trim(regexp_replace(text, '[\\s\\x{0B}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+', ' ', 'g'), ' ') AS texto FROM documents""")

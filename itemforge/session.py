@@ -46,6 +46,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table whose rows mean much work each: one that the scan cuts into few pieces is spread over the cores.
+
+    Large tables have more pieces than cores and are left as the scan cuts them; no shuffle is added there.
+    """
+    df = table(spark, sf_dir, name, *columns)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster; a private one only where none is named."""
     sc = spark.sparkContext
