@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemforge.llm import canonical, encoding, language, leaks, near, personal, reading, scan, subjects, tokenize_bpe
-from itemforge.session import table
+from itemforge.session import table, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,14 +16,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     """Fields with a trace of the scanned page."""
     fields = ["DESC_ENUNCIADO", "DESC_ALTER_A"]
-    df = table(spark, sf, "pipeline", "ID_LINHA", *fields)
+    df = texts(spark, sf, "pipeline", "ID_LINHA", *fields)
     return scan.scan_traces(df, "ID_LINHA", fields, scan.fit_lexicon(df, fields)).select("id_linha", "campo")
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     """Languages of a field that its record's label does not name."""
     fields = ["DESC_ENUNCIADO", "DESC_ALTER_A"]
-    df = table(spark, sf, "pipeline", "ID_LINHA", "TX_IDIOMA", *fields)
+    df = texts(spark, sf, "pipeline", "ID_LINHA", "TX_IDIOMA", *fields)
     words = language.fit_profile(df, "ID_LINHA", "TX_IDIOMA", "DESC_ENUNCIADO")
     return language.language_cases(df, "ID_LINHA", "TX_IDIOMA", fields, words)
 
@@ -31,12 +31,12 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     """Fields with look-alike, invisible or taken-apart characters."""
     fields = ["DESC_ENUNCIADO", "DESC_ALTER_B"]
-    return canonical.unstable_fields(table(spark, sf, "pipeline", "ID_LINHA", *fields), "ID_LINHA", fields).select("id_linha", "campo")
+    return canonical.unstable_fields(texts(spark, sf, "pipeline", "ID_LINHA", *fields), "ID_LINHA", fields).select("id_linha", "campo")
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """Reading level of every record with a statement."""
-    df = table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO")
+    df = texts(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO")
     labels = table(spark, sf, "reading_labels", "id_linha", "nivel")
     sample = reading.labelled_sample(df, "ID_LINHA", "DESC_ENUNCIADO", labels, "id_linha", "nivel", reading.FIT_DOCUMENTS)
     cut = reading.Splitter()
@@ -46,7 +46,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Subjects that at least two sentences of a record treat."""
-    df = table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO", "TX_IDIOMA")
+    df = texts(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO", "TX_IDIOMA")
     labels = table(spark, sf, "subject_labels", "id_linha", "assunto")
     sample = subjects.labelled_sample(df, "ID_LINHA", "DESC_ENUNCIADO", labels, "id_linha", "assunto", subjects.FIT_DOCUMENTS, "TX_IDIOMA")
     return subjects.subject_areas(df, "ID_LINHA", "DESC_ENUNCIADO", subjects.fit_topics(spark, sample)).select("id_linha", "assunto")
@@ -55,71 +55,71 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """Fields decoded, wholly or partly, with a wrong encoding."""
     fields = ["DESC_ENUNCIADO", "DESC_ALTER_C"]
-    return encoding.garbled_fields(table(spark, sf, "pipeline", "ID_LINHA", *fields), "ID_LINHA", fields).select("id_linha", "campo")
+    return encoding.garbled_fields(texts(spark, sf, "pipeline", "ID_LINHA", *fields), "ID_LINHA", fields).select("id_linha", "campo")
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of records whose statements are alike to at least one half."""
-    return near.alike_pairs(table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO"), "ID_LINHA", "DESC_ENUNCIADO", 0.5)
+    return near.alike_pairs(texts(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO"), "ID_LINHA", "DESC_ENUNCIADO", 0.5)
 
 
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Token ids of every document."""
-    return tokenize_bpe.encode_corpus(table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
+    return tokenize_bpe.encode_corpus(texts(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with at least twelve consecutive words of a test item."""
-    docs, items = table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "eval_items", "item_id", "text")
+    docs, items = texts(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "eval_items", "item_id", "text")
     return leaks.leaked_passages(docs, "doc_id", "text", items, "item_id", "text").where(F.col("palavras_seguidas") >= leaks.RUN).select("doc_id", "item_id")
 
 
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     """Personal data of the documents, by type and position."""
-    docs = table(spark, sf, "documents", "doc_id", "text")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     return personal.personal_spans(docs, "doc_id", "text", personal.fit_model(docs, "doc_id", "text")).select("doc_id", "tipo", "inicio")
 
 
 def p1_repaired(spark: SparkSession, sf: str) -> DataFrame:
     """Fields with traces as continuous paragraphs, with the traces counted."""
     fields = ["DESC_ENUNCIADO", "DESC_ALTER_A"]
-    df = table(spark, sf, "pipeline", "ID_LINHA", *fields)
+    df = texts(spark, sf, "pipeline", "ID_LINHA", *fields)
     return scan.scan_traces(df, "ID_LINHA", fields, scan.fit_lexicon(df, fields))
 
 
 def p2_passages(spark: SparkSession, sf: str) -> DataFrame:
     """Every passage of both fields with its language and confidence."""
     fields = ["DESC_ENUNCIADO", "DESC_ALTER_A"]
-    df = table(spark, sf, "pipeline", "ID_LINHA", "TX_IDIOMA", *fields)
+    df = texts(spark, sf, "pipeline", "ID_LINHA", "TX_IDIOMA", *fields)
     return language.passages(df, "ID_LINHA", fields, language.fit_profile(df, "ID_LINHA", "TX_IDIOMA", "DESC_ENUNCIADO"))
 
 
 def p3_canonical(spark: SparkSession, sf: str) -> DataFrame:
     """Fields with unstable segments in their canonical form."""
     fields = ["DESC_ENUNCIADO", "DESC_ALTER_B"]
-    return canonical.unstable_fields(table(spark, sf, "pipeline", "ID_LINHA", *fields), "ID_LINHA", fields)
+    return canonical.unstable_fields(texts(spark, sf, "pipeline", "ID_LINHA", *fields), "ID_LINHA", fields)
 
 
 def p6_restored(spark: SparkSession, sf: str) -> DataFrame:
     """Garbled fields with the original text where it can be restored."""
     fields = ["DESC_ENUNCIADO", "DESC_ALTER_C"]
-    return encoding.garbled_fields(table(spark, sf, "pipeline", "ID_LINHA", *fields), "ID_LINHA", fields)
+    return encoding.garbled_fields(texts(spark, sf, "pipeline", "ID_LINHA", *fields), "ID_LINHA", fields)
 
 
 def p7_groups(spark: SparkSession, sf: str) -> DataFrame:
     """Records of one question grouped over the whole bank, with the number of links of each."""
-    return near.record_groups(table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO"), "ID_LINHA", "DESC_ENUNCIADO", 0.5)
+    return near.record_groups(texts(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO"), "ID_LINHA", "DESC_ENUNCIADO", 0.5)
 
 
 def p9_report(spark: SparkSession, sf: str) -> DataFrame:
     """Candidate leaks with their alignment score and longest verbatim run."""
-    docs, items = table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "eval_items", "item_id", "text")
+    docs, items = texts(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "eval_items", "item_id", "text")
     return leaks.leaked_passages(docs, "doc_id", "text", items, "item_id", "text")
 
 
 def p10_masked(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with personal data replaced by typed placeholders."""
-    docs = table(spark, sf, "documents", "doc_id", "text")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     return personal.masked_texts(docs, "doc_id", "text", personal.fit_model(docs, "doc_id", "text"))
 
 
