@@ -174,7 +174,7 @@ def column_text(pieces: list[Piece], bars: list[tuple[float, float, float]], mar
         if made:
             text = Q.mark_in_prose(text) if Q.has_prose(text) else f"${text}$" if "$" not in text else text
         out.append((min(p.y0 for p in line), min(p.x0 for p in line), text))
-    return "\n".join(t for _, _, t in sorted(out, key=lambda r: r[:2]) if t)
+    return "\n".join(Q.split_glued(t) for _, _, t in sorted(out, key=lambda r: r[:2]) if t)
 
 
 def page_texts(pages: DataFrame, blocks: DataFrame, lines: DataFrame, spans: DataFrame, drawings: DataFrame, tables: DataFrame, brand: str = Q.BRAND) -> DataFrame:
@@ -198,7 +198,7 @@ def page_texts(pages: DataFrame, blocks: DataFrame, lines: DataFrame, spans: Dat
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = list(pdf.itertuples(index=False))
-        make = lambda k: [Piece(r.x0, r.y0, r.x1, r.y1, r.text or "", r.size, r.base, k) for r in rows if r.kind == k]
+        make = lambda k: [Piece(r.x0, r.y0, r.x1, r.y1, Q.span_text(r.text or "") if k == "span" else r.text, r.size, r.base, k) for r in rows if r.kind == k]
         bars = [(r.x0, r.x1, (r.y0 + r.y1) / 2) for r in rows if r.kind == "bar"]
         first = rows[0]
         return pd.DataFrame({"doc_id": [str(first.doc_id)], "page_no": [int(first.page_no)], "col": [int(first.col)], "text": [column_text(make("span"), bars, make("table"), first.bottom)]})

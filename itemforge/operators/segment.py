@@ -125,7 +125,9 @@ def questions(docs: DataFrame, images: DataFrame | None = None, circles: DataFra
     out = whole.groupBy("doc_id", "co_posicao", "tp_lingua").agg(last.alias("r")).select("doc_id", "co_posicao", "tp_lingua", "r.*")
     out = out.select("doc_id", F.col("co_posicao").alias("CO_POSICAO"), F.col("tp_lingua").alias("TP_LINGUA"), F.col("enunciado").alias("DESC_ENUNCIADO"),
                      *[F.element_at("alternativas", k + 1).alias(f"DESC_ALTER_{x}") for k, x in enumerate(Q.LETTERS)], "IN_ITEM_IMAGEM", "IN_ITEM_TABELA", "modo")
-    return insert_tables(out, tables, ["DESC_ENUNCIADO", *[f"DESC_ALTER_{x}" for x in Q.LETTERS]]) if tables is not None else out
+    texts = ["DESC_ENUNCIADO", *[f"DESC_ALTER_{x}" for x in Q.LETTERS]]
+    out = insert_tables(out, tables, texts) if tables is not None else out
+    return out.select(*[F.replace(c, F.lit(Q.DOLLAR), F.lit("\\$")).alias(c) if c in texts else c for c in out.columns])
 
 
 def _with_circles(brand: str):

@@ -62,3 +62,10 @@ def test_flags_and_tables(spark):
     assert (got[7].IN_ITEM_IMAGEM, got[7].IN_ITEM_TABELA) == (0, 1) and "| a |" in got[7].DESC_ENUNCIADO and "" not in got[7].DESC_ENUNCIADO
     assert (got[8].IN_ITEM_IMAGEM, got[8].IN_ITEM_TABELA) == (1, 0)
     assert got[9].IN_ITEM_IMAGEM == 1 and got[9].DESC_ALTER_E == PICTURE
+
+
+def test_span_text(spark):
+    assert Q.span_text("𝜋𝜋 r") == r"\pi r" and Q.span_text("R$ 5 e US$ 6") == "R$ 5 e US$ 6" and Q.span_text("!, @ e $") == "!, @ e " + Q.DOLLAR
+    body = "\nA) um\nB) dois\nC) três\nD) quatro\nE) cinco"
+    df = spark.createDataFrame([("d", "QUESTÃO 7\nsinais @ e " + Q.DOLLAR + " aqui" + body)], "doc_id string, text string")
+    assert segment.questions(df).first().DESC_ENUNCIADO == "sinais @ e \\$ aqui"
