@@ -148,7 +148,7 @@ class Canonizer:
 def unstable_fields(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
     """(id_linha, campo, texto_canonico, n_trechos) of every field with an unstable segment; no shuffle.
 
-    Null and empty fields give no row; repeated input rows repeat.
+    Null and empty fields give no row; repeated input rows repeat.  Other columns are ignored, whatever their names; an empty table gives an empty table.
     """
 
     def make():

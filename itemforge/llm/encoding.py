@@ -192,6 +192,7 @@ def garbled_fields(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
     """(id_linha, campo, texto_restaurado, n_trechos) of every field with a garbled span; no shuffle.
 
     Null and empty fields give no row; a field gives one row however many spans it has; repeated input rows repeat.
+    Other columns are ignored, whatever their names; an empty table gives an empty table.
     """
 
     def make():
@@ -209,7 +210,10 @@ def garbled_fields(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
 
 
 def restore_fields(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
-    """Every row of ``df`` as (id, fields...) with garbled spans restored."""
+    """Every row of ``df`` as (id, fields...) with garbled spans restored; null stays null, empty stays empty.
+
+    Other columns are ignored, whatever their names; an empty table gives an empty table.
+    """
 
     def make():
         fix = Repairer()

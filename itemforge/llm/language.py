@@ -223,7 +223,8 @@ def fit_profile(df: DataFrame, id_col: str, label_col: str, text_col: str, sampl
 def passages(df: DataFrame, id_col: str, fields: list[str], words: dict[str, Counter]) -> DataFrame:
     """(id_linha, campo, ordem, idioma, palavras, confianca): the passages of every field; no shuffle.
 
-    Null, empty and wordless fields give no row; an undecidable field gives ``und`` with confidence 0.
+    Null, empty and wordless fields give no row; an undecidable field gives ``und`` with confidence 0; repeated rows
+    repeat.  Other columns are ignored, whatever their names; an empty table gives an empty table.
     """
     held = Shared(df.sparkSession, words)
 

@@ -122,6 +122,8 @@ def _batched(texts: list, words: Words, keys: np.ndarray) -> Iterator[tuple[int,
 def leaked_passages(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str) -> DataFrame:
     """(doc_id, item_id, pontos, palavras_seguidas) of every document and item that share a seed; no shuffle of texts.
 
+    Null and empty texts, null item keys and items of fewer than ``RUN`` words give no row; repeated documents repeat.
+    Other columns are ignored, whatever their names; an empty table gives an empty table.
     The number of items is read first; each block of at most ``BLOCK_ITEMS`` items is broadcast on its own.
     """
     spark = docs.sparkSession

@@ -278,7 +278,10 @@ def fit_model(df: DataFrame, id_col: str, text_col: str, most: int = FIT_DOCUMEN
 
 
 def personal_spans(df: DataFrame, id_col: str, text_col: str, model: tuple[Names, dict[str, float]]) -> DataFrame:
-    """(doc_id, tipo, inicio, fim) of every span; positions count code points; no shuffle."""
+    """(doc_id, tipo, inicio, fim) of every span; positions count code points; no shuffle.
+
+    Null and empty texts give no row; spans never overlap; repeated rows repeat.  Other columns are ignored, whatever their names; an empty table gives an empty table.
+    """
     held = Shared(df.sparkSession, model)
 
     def make():
@@ -295,7 +298,10 @@ def personal_spans(df: DataFrame, id_col: str, text_col: str, model: tuple[Names
 
 
 def masked_texts(df: DataFrame, id_col: str, text_col: str, model: tuple[Names, dict[str, float]]) -> DataFrame:
-    """(doc_id, texto) of every row, spans replaced by placeholders; null stays null; no shuffle."""
+    """(doc_id, texto) of every row, spans replaced by placeholders; null stays null, empty stays empty; no shuffle.
+
+    Other columns are ignored, whatever their names; an empty table gives an empty table.
+    """
     held = Shared(df.sparkSession, model)
 
     def make():

@@ -176,7 +176,11 @@ def labelled_sample(df: DataFrame, id_col: str, text_col: str, labels: DataFrame
 
 
 def reading_levels(df: DataFrame, id_col: str, text_col: str, model: LevelModel) -> DataFrame:
-    """(id_linha, nivel, confianca) of every row whose text is neither null nor empty; no shuffle."""
+    """(id_linha, nivel, confianca) of every row whose text is neither null nor empty; no shuffle.
+
+    A text without words gets the most frequent level with confidence 0; ties go to the easier level; repeated rows
+    repeat.  Other columns are ignored, whatever their names; an empty table gives an empty table.
+    """
     held = Shared(df.sparkSession, model)
 
     def make():

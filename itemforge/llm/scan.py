@@ -372,7 +372,7 @@ def fit_lexicon(df, fields: list[str]) -> Lexicon:
 def scan_traces(df, id_col: str, fields: list[str], lexicon: Lexicon):
     """(id_linha, campo, n_linhas, n_quebras, n_sinais, texto_reparado) of every field with a trace; no shuffle.
 
-    Null and empty fields give no row; repeated input rows repeat.
+    Null, empty and blank fields give no row; repeated input rows repeat; very long texts are read whole.  Other columns are ignored, whatever their names; an empty table gives an empty table.
     """
     from pyspark.sql import functions as F
 

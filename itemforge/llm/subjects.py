@@ -176,7 +176,11 @@ class TopicModel:
 
 
 def subject_areas(df: DataFrame, id_col: str, text_col: str, model: TopicModel) -> DataFrame:
-    """(id_linha, assunto, frases, proporcao) of every document, one row for each of its subjects; no shuffle."""
+    """(id_linha, assunto, frases, proporcao) of every document, one row for each of its subjects; no shuffle.
+
+    Null, empty and wordless texts, and texts without a subject of two sentences, give no row; repeated rows repeat.
+    Other columns are ignored, whatever their names; an empty table gives an empty table.
+    """
     held = Shared(df.sparkSession, model)
 
     def make():
