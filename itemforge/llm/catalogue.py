@@ -46,10 +46,24 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Subjects that at least two sentences of a record treat."""
+    df, model = _topics(spark, sf)
+    return subjects.subject_areas(df, "ID_LINHA", "DESC_ENUNCIADO", model).select("id_linha", "assunto")
+
+
+def _topics(spark: SparkSession, sf: str) -> tuple[DataFrame, subjects.TopicModel]:
     df = texts(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO", "TX_IDIOMA")
     labels = table(spark, sf, "subject_labels", "id_linha", "assunto")
     sample = subjects.labelled_sample(df, "ID_LINHA", "DESC_ENUNCIADO", labels, "id_linha", "assunto", subjects.FIT_DOCUMENTS, "TX_IDIOMA")
-    return subjects.subject_areas(df, "ID_LINHA", "DESC_ENUNCIADO", subjects.fit_topics(spark, sample)).select("id_linha", "assunto")
+    return df, subjects.fit_topics(spark, sample)
+
+
+def p5_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """Top terms of every topic, the subject it stands for, whether the inspection keeps it, and the records it is found in."""
+    df, model = _topics(spark, sf)
+    kept, terms = model.inspected(), model.top_terms()
+    rows = [(j, subjects.SUBJECTS[j] if j < len(subjects.SUBJECTS) else None, " ".join(t), j in kept) for j, t in terms.items()]
+    found = subjects.subject_areas(df, "ID_LINHA", "DESC_ENUNCIADO", model).groupBy("assunto").agg(F.count(F.lit(1)).alias("n_registros"), F.round(F.avg("proporcao"), 4).alias("proporcao"))
+    return spark.createDataFrame(rows, "topico int, assunto string, termos string, aceito boolean").join(found, "assunto", "left").select("topico", "assunto", "termos", "aceito", "n_registros", "proporcao")
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,7 +139,7 @@ def p10_masked(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found,
-    "p1_repaired": p1_repaired, "p2_passages": p2_passages, "p3_canonical": p3_canonical, "p6_restored": p6_restored, "p7_groups": p7_groups, "p9_report": p9_report, "p10_masked": p10_masked,
+    "p1_repaired": p1_repaired, "p2_passages": p2_passages, "p3_canonical": p3_canonical, "p5_topics": p5_topics, "p6_restored": p6_restored, "p7_groups": p7_groups, "p9_report": p9_report, "p10_masked": p10_masked,
 }
 SQL: dict[str, str] = {
     "p7_found": """WITH w AS (SELECT ID_LINHA AS id, regexp_extract_all(lower(DESC_ENUNCIADO), '[\\pL\\pN]+') AS w FROM pipeline WHERE DESC_ENUNCIADO IS NOT NULL),

@@ -73,7 +73,6 @@ def garbled_table() -> dict[str, list[tuple[str, str]]]:
 
 #: A text without these is clean; the test costs one scan.
 _SUSPECT = re.compile("[^\\x00-\\x7fáàâãçéêíñóôõúüºª°²³–—“”‘’…•€]")
-_WORDISH = re.compile(r"[^\W\d_]")
 
 
 class Repairer:

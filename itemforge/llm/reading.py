@@ -23,7 +23,6 @@ from itemforge.llm.sentences import Splitter
 LEVELS = ("basico", "medio", "avancado")
 FIT_DOCUMENTS = 1500
 PENALTY = 3e-3
-BUCKETS = 1 << 14
 
 
 def _triples(word: str) -> list[str]:
