@@ -10,8 +10,8 @@ have a Jaccard likeness of at least the threshold.
    bounded sample in a table of fixed size; any order gives the same guarantee, a good one only gives fewer candidates.
    Texts with at most ``SHORT`` runs, and those that could be their partners, also get the prefix of their run set, so
    that short texts are found exactly whatever was edited.
-3. Texts that share a seed are candidates.  A seed of more than ``HOT`` texts is split by the seed that follows it.
-   Candidates must share a number of seeds that grows with their length (one for short texts).
+3. Every two classes that share a seed are candidates, however many they are: a seed of more than ``BLOCK`` classes is
+   paired block by block.  Candidates must share a number of seeds that grows with their length (one for short texts).
 4. Candidate sets of one leader go into a prefix tree ordered with the leader's runs first; the tree is walked once,
    paths shared by several sets are walked once, and subtrees are left as soon as the runs that remain cannot reach the
    overlap that the threshold asks for.  Likeness is exact.
@@ -38,7 +38,7 @@ RUN, GRAM, WINDOW = 3, 8, 6
 SHORT = 36
 #: A pair shares at least one seed for so many runs of the shorter text.
 RUNS_A_SEED = 36
-HOT = 16
+BLOCK = 512
 PARTNERS = 256
 EXPAND = 1000
 ORDER_ROWS, ORDER_BITS, NEED_BITS = 20_000, 18, 22
@@ -105,8 +105,8 @@ def ordered(h: np.ndarray, order: np.ndarray) -> np.ndarray:
     return (order[(h & np.uint64((1 << ORDER_BITS) - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (h >> np.uint64(6))
 
 
-def seeds(codes: np.ndarray, order: np.ndarray, threshold: float, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(seeds in text order, seed that follows each)."""
+def seeds(codes: np.ndarray, order: np.ndarray, threshold: float, own: np.ndarray) -> np.ndarray:
+    """Seeds in text order."""
     key = ordered(runs(codes, GRAM), order)
     if len(key) > WINDOW:
         key = np.lib.stride_tricks.sliding_window_view(key, WINDOW).min(1)
@@ -114,14 +114,13 @@ def seeds(codes: np.ndarray, order: np.ndarray, threshold: float, own: np.ndarra
         key = key.min(keepdims=True)
     if len(key) > 1:
         key = key[np.append(True, key[1:] != key[:-1])]
-    after = np.append(key[1:], np.uint64(0)) if len(key) else key
     if len(own) <= SHORT / threshold:
         own = np.unique(ordered(own, order))
         own = own[: len(own) - int(np.ceil(threshold * len(own))) + 1]
         with np.errstate(over="ignore"):
             own = own * _M ^ np.uint64(3)
-        key, after = np.concatenate([key, own]), np.concatenate([after, np.append(own[1:], np.uint64(0))])
-    return key, after
+        key = np.concatenate([key, own])
+    return key
 
 
 def _order(texts: DataFrame) -> np.ndarray:
@@ -156,7 +155,7 @@ def _to_pandas(df: DataFrame):
 
 
 def _seed_rows(texts: DataFrame, order: np.ndarray, threshold: float) -> DataFrame:
-    """(s, h): 40 bits of a seed above 24 bits of the seed that follows it, and the class; a class once in each task."""
+    """(s, h): 40 bits of a seed and the class; a class once in each task."""
     held = texts.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,10 +170,10 @@ def _seed_rows(texts: DataFrame, order: np.ndarray, threshold: float) -> DataFra
                 c = coder.codes(t)
                 own = np.unique(runs(c, RUN))
                 h = class_name(g, len(own))
-                s, after = seeds(c, held.value, threshold, own)
+                s = seeds(c, held.value, threshold, own)
                 with np.errstate(over="ignore"):
-                    s, after = (s * _M) & ~np.uint64((1 << 24) - 1), (after * _M) >> np.uint64(40)
-                parts.append((s | after, np.full(len(s), h, np.int64)))
+                    s = (s * _M) >> np.uint64(24)
+                parts.append((s, np.full(len(s), h, np.int64)))
             if parts:
                 s, h = (np.concatenate(x) for x in zip(*parts))
                 yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(h)], names=["s", "h"])
@@ -182,20 +181,32 @@ def _seed_rows(texts: DataFrame, order: np.ndarray, threshold: float) -> DataFra
     return texts.select("t", "g").mapInArrow(run, "s bigint, h bigint")
 
 
-def _pairs_of(starts: np.ndarray, lengths: np.ndarray, h: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs inside groups given by start and length, groups of equal length together."""
-    for size in np.unique(lengths):
-        if size < 2:
-            continue
+def _index_pairs(starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of every two members of each group, groups of equal length together, a large one block by block."""
+    for size in np.unique(lengths).tolist():
         at = starts[lengths == size]
-        i, j = np.triu_indices(int(size), 1)
-        step = max(1, 2_000_000 // len(i))
-        for k in range(0, len(at), step):
-            a, b = h[(at[k : k + step, None] + i).ravel()], h[(at[k : k + step, None] + j).ravel()]
-            a, b = np.minimum(a, b), np.maximum(a, b)
-            small, large = np.minimum(class_size(a), class_size(b)), np.maximum(class_size(a), class_size(b))
-            keep = (a != b) & ((2 * small + 2 > threshold * 2 * large) | (small == 255))
-            yield a[keep], b[keep]
+        if size > BLOCK:
+            for first in at.tolist():
+                for p in range(first, first + size, BLOCK):
+                    left = np.arange(p, min(p + BLOCK, first + size))
+                    for q in range(p, first + size, BLOCK):
+                        right = np.arange(q, min(q + BLOCK, first + size))
+                        i, j = np.repeat(left, len(right)), np.tile(right, len(left))
+                        yield (i[i < j], j[i < j]) if p == q else (i, j)
+        elif size > 1:
+            i, j = np.triu_indices(size, 1)
+            step = max(1, 500_000 // len(i))
+            for k in range(0, len(at), step):
+                yield (at[k : k + step, None] + i).ravel(), (at[k : k + step, None] + j).ravel()
+
+
+def _pairs_of(starts: np.ndarray, lengths: np.ndarray, h: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs inside groups given by start and length whose sizes allow the threshold."""
+    for i, j in _index_pairs(starts, lengths):
+        a, b = np.minimum(h[i], h[j]), np.maximum(h[i], h[j])
+        small, large = np.minimum(class_size(a), class_size(b)), np.maximum(class_size(a), class_size(b))
+        keep = (2 * small + 2 > threshold * 2 * large) | (small == 255)
+        yield a[keep], b[keep]
 
 
 def _groups(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,44 +223,41 @@ def _groups(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _candidate_rows(rows: DataFrame, threshold: float) -> DataFrame:
     """(a, b, c): candidate pairs of each partition with the number of seeds they share in it."""
 
-    def flush(both: np.ndarray, h: np.ndarray, known_hot: int | None) -> Iterator[pa.RecordBatch]:
-        s = both >> 24
-        starts, lengths = _groups(s)
-        hot = lengths > HOT
-        if known_hot is not None:
-            hot |= s[starts] == known_hot
-        found = list(_pairs_of(starts[~hot], lengths[~hot], h, threshold))
-        if hot.any():
-            mark = np.repeat(hot, lengths)
-            found += list(_pairs_of(*_groups(both[mark]), h[mark], threshold))
-        if found:
-            a, b = (np.concatenate(c) for c in zip(*found))
-            o = np.lexsort((b, a))
-            a, b = a[o], b[o]
-            first, count = _groups(a, b)
-            yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(count.astype(np.int32))], names=["a", "b", "c"])
+    def packed(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        a, b = (np.concatenate(c) for c in zip(*found))
+        o = np.lexsort((b, a))
+        a, b = a[o], b[o]
+        first, count = _groups(a, b)
+        return pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(count.astype(np.int32))], names=["a", "b", "c"])
+
+    def flush(s: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
+        first, _ = _groups(s, h)  # a class that several tasks met counts once
+        s, h = s[first], h[first]
+        found, n = [], 0
+        for a, b in _pairs_of(*_groups(s), h, threshold):
+            found.append((a, b))
+            n += len(a)
+            if n > 2_000_000:
+                yield packed(found)
+                found, n = [], 0
+        if n:
+            yield packed(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, hot_seed = None, None
+        parts, held = [], 0
         for batch in batches:
-            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if rest is not None:
-                cols = [np.concatenate([r, c]) for r, c in zip(rest, cols)]
-            both, h = cols
-            if len(both) < 400_000:
-                rest = cols
+            parts.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            held += batch.num_rows
+            if held < 400_000 or parts[0][0][0] == parts[-1][0][-1]:  # the rows of one seed stay together, as many as they are
                 continue
-            cut = int(np.searchsorted(both >> 24, both[-1] >> 24))
-            if cut == 0:  # one seed fills the buffer: it is hot, and its finished sub-groups can go
-                hot_seed = int(both[-1] >> 24)
-                cut = int(np.searchsorted(both, both[-1]))
-            if cut:
-                yield from flush(both[:cut], h[:cut], hot_seed)
-            rest = [both[cut:], h[cut:]]
-        if rest is not None and len(rest[0]):
-            yield from flush(*rest, hot_seed)
-
-    return rows.repartition(F.shiftright("s", 24)).sortWithinPartitions("s").mapInArrow(run, "a bigint, b bigint, c int")
+            s, h = (np.concatenate(c) for c in zip(*parts))
+            cut = int(np.searchsorted(s, s[-1]))
+            yield from flush(s[:cut], h[:cut])
+            parts, held = [[s[cut:], h[cut:]]], len(s) - cut
+        if held:
+            yield from flush(*(np.concatenate(c) for c in zip(*parts)))
+
+    return rows.repartition("s").sortWithinPartitions("s", "h").mapInArrow(run, "a bigint, b bigint, c int")
 
 
 class PrefixTree:
