@@ -5,13 +5,14 @@ have a Jaccard likeness of at least the threshold.
 
 1. Equal texts form a class (hash of the text); everything below works on classes.  Texts that differ only in case or
    punctuation are classes of their own and meet as near-duplicates.
-2. Seeds: runs of ``GRAM`` words, of which the rarest in each window of ``WINDOW`` is kept (winnowing under one global
-   order).  Two texts with a common stretch of ``GRAM + WINDOW - 1`` words share a seed.  The order comes from counts of a
-   bounded sample in a table of fixed size; any order gives the same guarantee, a good one only gives fewer candidates.
-   Texts with at most ``SHORT`` runs, and those that could be their partners, also get the prefix of their run set, so
-   that short texts are found exactly whatever was edited.
-3. Every two classes that share a seed are candidates, however many they are: a seed of more than ``BLOCK`` classes is
-   paired block by block.  Candidates must share a number of seeds that grows with their length (one for short texts).
+2. Prefixes: the runs of a text stand under one global order, rarer first.  Two alike texts have a first common run within
+   the first ``n - ceil(threshold * n) + 1`` runs of each, so these are the seeds of a text, whatever its length.  The
+   order comes from counts of a bounded sample in a table of fixed size; any order gives the same pairs, a good one only
+   gives fewer candidates.
+3. Every two classes that share a seed meet, however many they are: a seed of more than ``BLOCK`` classes is paired block by
+   block.  A meeting is taken for that of the first common run, so the runs before it count as different, and a parity
+   bitmap of the runs after it tells how many more differ at least.  Meetings whose sizes, positions and bitmaps rule out
+   the threshold are dropped; no alike pair is.
 4. Candidate sets of one leader go into a prefix tree ordered with the leader's runs first; the tree is walked once,
    paths shared by several sets are walked once, and subtrees are left as soon as the runs that remain cannot reach the
    overlap that the threshold asks for.  Likeness is exact.
@@ -34,10 +35,9 @@ from pyspark.sql import functions as F
 from itemforge.llm.arrow import map_rows
 from itemforge.session import checkpoint_dir
 
-RUN, GRAM, WINDOW = 3, 8, 6
-SHORT = 36
-#: A pair shares at least one seed for so many runs of the shorter text.
-RUNS_A_SEED = 36
+RUN = 3
+#: Bits of the bitmap in a seed row: four words and 16 bits of the first one.
+BITS = 272
 BLOCK = 512
 PARTNERS = 256
 EXPAND = 1000
@@ -105,22 +105,21 @@ def ordered(h: np.ndarray, order: np.ndarray) -> np.ndarray:
     return (order[(h & np.uint64((1 << ORDER_BITS) - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (h >> np.uint64(6))
 
 
-def seeds(codes: np.ndarray, order: np.ndarray, threshold: float, own: np.ndarray) -> np.ndarray:
-    """Seeds in text order."""
-    key = ordered(runs(codes, GRAM), order)
-    if len(key) > WINDOW:
-        key = np.lib.stride_tricks.sliding_window_view(key, WINDOW).min(1)
-    elif len(key):
-        key = key.min(keepdims=True)
-    if len(key) > 1:
-        key = key[np.append(True, key[1:] != key[:-1])]
-    if len(own) <= SHORT / threshold:
-        own = np.unique(ordered(own, order))
-        own = own[: len(own) - int(np.ceil(threshold * len(own))) + 1]
-        with np.errstate(over="ignore"):
-            own = own * _M ^ np.uint64(3)
-        key = np.concatenate([key, own])
-    return key
+def seeds(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+    """(text, position, five words of bitmap, run) of the prefixes of ordered run sets."""
+    n = np.array([len(s) for s in sets])
+    key = np.concatenate(sets)
+    text = np.repeat(np.arange(len(sets)), n)
+    pos = np.arange(len(key)) - np.repeat(np.cumsum(n) - n, n)
+    keep = pos < (n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1)[text]
+    last = np.cumsum(n)[text] - 1
+    with np.errstate(over="ignore"):
+        bit = ((key * _M) >> np.uint64(32)) % np.uint64(BITS)
+    words = []
+    for w in range(5):
+        parity = np.bitwise_xor.accumulate(np.where(bit >> np.uint64(6) == w, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0)))
+        words.append((parity ^ parity[last])[keep])
+    return text[keep], pos[keep], words, key[keep]
 
 
 def _order(texts: DataFrame) -> np.ndarray:
@@ -135,8 +134,7 @@ def _order(texts: DataFrame) -> np.ndarray:
             counts = np.zeros(1 << ORDER_BITS, np.int64)
             for t in ts:
                 c = coder.codes(t)
-                for n in (GRAM, RUN) if len(c) <= 2 * SHORT / 0.5 else (GRAM,):
-                    np.add.at(counts, (np.unique(runs(c, n)) & np.uint64((1 << ORDER_BITS) - 1)).astype(np.int64), 1)
+                np.add.at(counts, (np.unique(runs(c, RUN)) & np.uint64((1 << ORDER_BITS) - 1)).astype(np.int64), 1)
             hit = np.flatnonzero(counts)
             yield from zip(hit.tolist(), counts[hit].tolist())
 
@@ -155,30 +153,42 @@ def _to_pandas(df: DataFrame):
 
 
 def _seed_rows(texts: DataFrame, order: np.ndarray, threshold: float) -> DataFrame:
-    """(s, h): 40 bits of a seed and the class; a class once in each task."""
+    """(s, h, w, x, y, z): 40 bits of a seed, 8 of its position and 16 of the bitmap; the class; the rest of the bitmap.
+
+    A class comes once in each task.
+    """
     held = texts.sparkSession.sparkContext.broadcast(order)
 
+    def rows(sets: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
+        text, pos, words, key = seeds(sets, threshold)
+        with np.errstate(over="ignore"):
+            s = ((key * _M) & ~np.uint64((1 << 24) - 1)) | (np.minimum(pos, 255).astype(np.uint64) << np.uint64(16)) | words[4]
+        columns = [s, np.array(names, dtype=np.int64)[text], *words[:4]]
+        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=list("shwxyz"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, met = Coder(), set()
+        sets, names, size = [], [], 0
         for batch in batches:
-            parts = []
             for t, g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if g in met:
                     continue
                 if len(met) < 1_000_000:
                     met.add(g)
-                c = coder.codes(t)
-                own = np.unique(runs(c, RUN))
-                h = class_name(g, len(own))
-                s = seeds(c, held.value, threshold, own)
-                with np.errstate(over="ignore"):
-                    s = (s * _M) >> np.uint64(24)
-                parts.append((s, np.full(len(s), h, np.int64)))
-            if parts:
-                s, h = (np.concatenate(x) for x in zip(*parts))
-                yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(h)], names=["s", "h"])
-
-    return texts.select("t", "g").mapInArrow(run, "s bigint, h bigint")
+                own = ordered(runs(coder.codes(t), RUN), held.value)
+                own.sort()
+                own = own[np.append(True, own[1:] != own[:-1])] if len(own) else own
+                if len(own):
+                    sets.append(own)
+                    names.append(class_name(g, len(own)))
+                    size += len(own)
+                if size > 200_000:
+                    yield rows(sets, names)
+                    sets, names, size = [], [], 0
+        if size:
+            yield rows(sets, names)
+
+    return texts.select("t", "g").mapInArrow(run, "s bigint, h bigint, w bigint, x bigint, y bigint, z bigint")
 
 
 def _index_pairs(starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -200,13 +210,24 @@ def _index_pairs(starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.n
                 yield (at[k : k + step, None] + i).ravel(), (at[k : k + step, None] + j).ravel()
 
 
-def _pairs_of(starts: np.ndarray, lengths: np.ndarray, h: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs inside groups given by start and length whose sizes allow the threshold."""
+def _pairs_of(starts: np.ndarray, lengths: np.ndarray, columns: list[np.ndarray], threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs inside groups given by start and length that sizes, positions and bitmaps leave possible."""
+    s, h, *words = columns
+    words = [*words, s & 0xFFFF]
+    half, pos = class_size(h), (s >> 16) & 255
+    least = (2 * half).astype(np.float64)
+    most = np.where(half == 255, np.inf, least + 1)
+    need, after, slack = least * (threshold / (1 + threshold)) - 1e-6, most - pos, most * ((1 - threshold) / (1 + threshold)) + 1e-6 - pos
     for i, j in _index_pairs(starts, lengths):
-        a, b = np.minimum(h[i], h[j]), np.maximum(h[i], h[j])
-        small, large = np.minimum(class_size(a), class_size(b)), np.maximum(class_size(a), class_size(b))
-        keep = (2 * small + 2 > threshold * 2 * large) | (small == 255)
-        yield a[keep], b[keep]
+        both = need[i] + need[j]
+        keep = (after[i] >= both) & (after[j] >= both)
+        i, j = i[keep], j[keep]
+        differ = np.zeros(len(i), np.int64)
+        for w in words:
+            differ += np.bitwise_count((w[i] ^ w[j]).view(np.uint64))
+        keep = (differ <= slack[i] + slack[j]) & (np.minimum(most[i], most[j]) >= threshold * np.maximum(least[i], least[j]) - 1e-6) & (h[i] != h[j])
+        a, b = h[i[keep]], h[j[keep]]
+        yield np.minimum(a, b), np.maximum(a, b)
 
 
 def _groups(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,20 +242,20 @@ def _groups(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _candidate_rows(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, c): candidate pairs of each partition with the number of seeds they share in it."""
+    """(a, b): candidate pairs of each partition."""
 
     def packed(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         a, b = (np.concatenate(c) for c in zip(*found))
         o = np.lexsort((b, a))
         a, b = a[o], b[o]
-        first, count = _groups(a, b)
-        return pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(count.astype(np.int32))], names=["a", "b", "c"])
+        first, _ = _groups(a, b)
+        return pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first])], names=["a", "b"])
 
-    def flush(s: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
-        first, _ = _groups(s, h)  # a class that several tasks met counts once
-        s, h = s[first], h[first]
+    def flush(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        first, _ = _groups(*columns[:2])  # a class that several tasks met counts once
+        columns = [c[first] for c in columns]
         found, n = [], 0
-        for a, b in _pairs_of(*_groups(s), h, threshold):
+        for a, b in _pairs_of(*_groups(columns[0] >> 24), columns, threshold):
             found.append((a, b))
             n += len(a)
             if n > 2_000_000:
@@ -248,16 +269,16 @@ def _candidate_rows(rows: DataFrame, threshold: float) -> DataFrame:
         for batch in batches:
             parts.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
             held += batch.num_rows
-            if held < 400_000 or parts[0][0][0] == parts[-1][0][-1]:  # the rows of one seed stay together, as many as they are
+            if held < 400_000 or parts[0][0][0] >> 24 == parts[-1][0][-1] >> 24:  # the rows of one seed stay together, as many as they are
                 continue
-            s, h = (np.concatenate(c) for c in zip(*parts))
-            cut = int(np.searchsorted(s, s[-1]))
-            yield from flush(s[:cut], h[:cut])
-            parts, held = [[s[cut:], h[cut:]]], len(s) - cut
+            columns = [np.concatenate(c) for c in zip(*parts)]
+            cut = int(np.searchsorted(columns[0] >> 24, columns[0][-1] >> 24))
+            yield from flush(*[c[:cut] for c in columns])
+            parts, held = [[c[cut:] for c in columns]], len(columns[0]) - cut
         if held:
             yield from flush(*(np.concatenate(c) for c in zip(*parts)))
 
-    return rows.repartition("s").sortWithinPartitions("s", "h").mapInArrow(run, "a bigint, b bigint, c int")
+    return rows.repartition(F.shiftright("s", 24)).sortWithinPartitions("s", "h").mapInArrow(run, "a bigint, b bigint")
 
 
 class PrefixTree:
@@ -343,9 +364,7 @@ def class_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.
     spark = df.sparkSession
     texts = named(df, id_col, text_col)
     rows = _seed_rows(texts, _order(texts), threshold)
-    shared = _candidate_rows(rows, threshold).groupBy("a", "b").agg(F.sum("c").alias("c"))
-    size = F.least(F.col("a").bitwiseAND(255), F.col("b").bitwiseAND(255)) * 2
-    candidates = shared.where(F.col("c") >= F.greatest(F.lit(1), F.floor(size / RUNS_A_SEED))).select("a", "b").checkpoint()
+    candidates = _candidate_rows(rows, threshold).distinct().checkpoint()
     buckets = candidates.select(F.explode(F.array("a", "b")).alias("h")).select(F.pmod(F.shiftright("h", 8), F.lit(1 << NEED_BITS)).alias("k"))
     masks = _to_pandas(buckets.groupBy(F.shiftright("k", 5).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(k & 31 as int))")).alias("m")))
     need = np.zeros(1 << (NEED_BITS - 5), np.int64)
