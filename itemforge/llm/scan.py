@@ -77,6 +77,12 @@ class Lexicon:
         self.words, self.triples, self.total = words, triples, max(total, 1)
 
 
+def without_misreadings(words: dict[str, int]) -> dict[str, int]:
+    """The words without those of four letters and more that one confusion makes of a word ``RATIO`` times as frequent."""
+    probe = Reader(Lexicon(words, {}, 0))
+    return {w: n for w, n in words.items() if len(w) < 4 or all(words.get(v, 0) < RATIO * n for v in probe._variants(w, False))}
+
+
 class Reader:
     """Finds the traces of a scanned page and gives back continuous text; built once in each task."""
 
@@ -321,7 +327,7 @@ def paragraphs(text: str) -> str:
 
 
 def fit_lexicon(df, fields: list[str]) -> Lexicon:
-    """Lexicon of all rows: each task counts its own words, one shuffle adds the counts.
+    """Lexicon of all distinct texts, so that copies do not vote: each task counts its own words, one shuffle adds the counts.
 
     Only words above ``LEXICON_SHARE`` (at most ``LEXICON_MOST``, the most frequent ones) and letter triples go to the
     driver; both are bounded.  Counts of rare words stay in the triples under ``#word`` only if a confusion of theirs
@@ -332,16 +338,14 @@ def fit_lexicon(df, fields: list[str]) -> Lexicon:
     from itemforge.llm.arrow import map_rows
 
     def make():
-        def work(*columns: list):
-            from collections import Counter
-
-            found = Counter(count_words([t for c in columns for t in c]))
-            return found.items()
+        def work(texts: list):
+            return count_words(texts).items()
 
         return work
 
+    each = df.select(F.explode(F.array(*[F.col(f"`{f}`") for f in fields])).alias("t")).where("length(t) > 0").distinct()
     counted = (
-        map_rows(df.select(*[F.col(f"`{f}`") for f in fields]), make, "w string, n bigint")
+        map_rows(each, make, "w string, n bigint")
         .groupBy("w").agg(F.sum("n").alias("n"))
     )
 
@@ -365,8 +369,9 @@ def fit_lexicon(df, fields: list[str]) -> Lexicon:
     total = sum(r.n for r in ranked if r.k == "a")
     least = max(LEXICON_LEAST, LEXICON_SHARE * total)
     words = {r.w: r.n for r in ranked if r.k == "w" and r.n >= least}
-    triples = {r.w: r.n for r in ranked if r.k == "t"} | {"#" + r.w: r.n for r in ranked if r.k == "w" and r.n < least}
-    return Lexicon(words, triples, total)
+    kept = without_misreadings(words)
+    triples = {r.w: r.n for r in ranked if r.k == "t"} | {"#" + r.w: r.n for r in ranked if r.k == "w" and r.w not in kept}
+    return Lexicon(kept, triples, total)
 
 
 def scan_traces(df, id_col: str, fields: list[str], lexicon: Lexicon):
