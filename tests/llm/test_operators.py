@@ -4,6 +4,7 @@ import random
 import re
 import unicodedata
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -185,10 +186,20 @@ def test_hot_seed_and_large_class(spark, monkeypatch):
 
 
 def test_prefix_tree():
-    tree = near.PrefixTree()
-    for m, (path, size) in enumerate([([0, 1, 2, 3], 4), ([0, 1], 4), ([2, 3], 2), ([], 3)]):
-        tree.add(path, size, m)
-    assert sorted(tree.join(4, 4, 0.5)) == [(0, 4), (2, 2)]
+    tree, sets = near.PrefixTree(), [[1, 2, 3, 9], [1, 2], [2, 3], [7], [1, 2, 3], [1, 4, 5, 6, 9], [1, 2, 3, 9], list(range(200))]
+    for m, s in enumerate(sets):
+        tree.add(np.array(s, np.uint64), m)
+    own = np.array([1, 2, 3, 9], np.uint64)
+    want = {(m, len(s), len(set(s) & {1, 2, 3, 9})) for m, s in enumerate(sets) if len(set(s) & {1, 2, 3, 9}) >= 0.5 * len(set(s) | {1, 2, 3, 9})}
+    assert set(tree.join(own, 0.5)) == want and len(want) == 5
+
+
+def test_frequent_runs_are_cut_into_cells(spark, monkeypatch):
+    monkeypatch.setattr(near, "HOT_ROWS", 4)
+    rng = random.Random(5)
+    rows = [(k, " ".join(f"w{rng.randrange(4)}" for _ in range(rng.randrange(3, 9)))) for k in range(120)]
+    got = [(r.id_a, r.id_b) for r in near.alike_pairs(spark.createDataFrame(rows, "i bigint, t string"), "i", "t", 0.5).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_pairs(rows, 0.5)
 
 
 # 8 --------------------------------------------------------------------------------------------------------------------
