@@ -76,3 +76,13 @@ def answer_circle() -> Column:
     """The dark filled circle in front of a drawn alternative."""
     x0, y0, x1, y1 = _box()
     return F.coalesce((x1 - x0).between(6.8, 7.0) & (y1 - y0).between(6.8, 7.0) & (F.size("items") == 4) & (F.try_element_at("fill", F.lit(1)) < 0.2), F.lit(False))
+
+
+def radical_sign() -> Column:
+    """A root sign drawn as a filled shape: narrow and tall, a corner at its top right, where the bar begins, and a foot."""
+    x0, y0, x1, y1 = _box()
+    w, h = x1 - x0, y1 - y0
+    some = lambda test: _any(lambda i: F.exists(i["pts"], test))
+    corner = some(lambda p: (F.abs(p["x"] - x1) <= 0.8) & (F.abs(p["y"] - y0) <= 0.8))
+    foot = some(lambda p: (F.abs(p["y"] - y1) <= 0.8) & p["x"].between(x0 + 0.3 * w, x1 - 0.2 * w))
+    return F.coalesce(F.col("fill").isNotNull() & w.between(2.5, 9) & h.between(4, 25) & corner & foot, F.lit(False))

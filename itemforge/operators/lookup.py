@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 #: Shifts tried, in order, for a position that a booklet does not hold.
 OFFSETS = (135, 90, 45)
 LAST_SHIFTED = 45
+#: Width of the cells by which objects and regions meet.
+CELL = 64.0
 
 
 def small(df: DataFrame, most_rows: int = 200_000) -> DataFrame:
@@ -33,7 +35,7 @@ def resolve_position(items: DataFrame, present: DataFrame, booklet: str, positio
     and never multiplied.
     """
     held = present.where(F.col(position).isNotNull()).groupBy(F.col(f"`{booklet}`").alias("_b")).agg(F.collect_set(F.col(position)).alias("_has"))
-    joined = items.join(held, items[booklet] == F.col("_b"), "left")
+    joined = items.join(small(held), items[booklet] == F.col("_b"), "left")
     p = F.col(position)
     here = F.coalesce(F.array_contains("_has", p), F.lit(False))
     shifted = F.coalesce(*[F.when(F.array_contains("_has", p + o), p + o) for o in OFFSETS], p)
@@ -66,19 +68,30 @@ def first_interval(objects: DataFrame, regions: DataFrame, keys: list[str], at:
     The join has its equality keys (page, column) first; the rank is a map-side minimum, not a sort.
     """
     hits = _within(objects, regions, keys, at, low, high, slack, slack)
-    r = F.min_by(F.struct(*[regions[c].alias(c) for c in regions.columns if c not in keys]), regions[order]).alias("_r")
-    return hits.groupBy(*[objects[k] for k in keys], objects[object_id]).agg(r).select(*keys, object_id, "_r.*")
+    rest = F.struct(*[F.col("_region")[c].alias(c) for c in regions.columns if c not in keys])
+    grouped = hits.groupBy(*[F.col("_object")[k].alias(k) for k in keys], F.col("_object")[object_id].alias(object_id))
+    return grouped.agg(F.min_by(rest, F.col("_region")[order]).alias("_r")).select(*keys, object_id, "_r.*")
 
 
 def all_intervals(objects: DataFrame, regions: DataFrame, keys: list[str], at: str, low: str, high: str, below: float = 0.0) -> DataFrame:
     """Every region whose interval, widened at its end by ``below``, holds the object."""
     hits = _within(objects, regions, keys, at, low, high, 0.0, below)
-    return hits.select(*[objects[c] for c in objects.columns], *[regions[c] for c in regions.columns if c not in keys])
+    return hits.select("_object.*", *[F.col("_region")[c].alias(c) for c in regions.columns if c not in keys])
 
 
-def _within(objects: DataFrame, regions: DataFrame, keys: list[str], at: str, low: str, high: str, above: float, below: float) -> DataFrame:
-    on: list[Column] = [objects[k] == regions[k] for k in keys]
-    return objects.join(regions, [*on, objects[at] >= regions[low] - above, objects[at] <= regions[high] + below])
+def _within(objects: DataFrame, regions: DataFrame, keys: list[str], at: str, low: str, high: str, above: float, below: float, cell: float = CELL) -> DataFrame:
+    """Objects with the regions that hold them.
+
+    Regions come once for each cell they reach into, an object has one cell, so that only what is near meets and each
+    pair meets once; a region has as many rows as cells, a dozen on a page.
+    """
+    begin, end = (F.col("_region")[low] - above), (F.col("_region")[high] + below)
+    cells = F.sequence(F.floor(begin / cell), F.floor(end / cell))
+    spread = regions.select(F.struct("*").alias("_region")).where(begin <= end).select("_region", F.explode(cells).alias("_cell"))
+    placed = objects.select(F.struct("*").alias("_object"), F.floor(F.col(at) / cell).alias("_cell"))
+    on = [F.col("_object")[k] == F.col("_region")[k] for k in keys]
+    near = [placed["_cell"] == spread["_cell"], F.col("_object")[at] >= begin, F.col("_object")[at] <= end]
+    return placed.join(spread, [*on, *near]).select("_object", "_region")
 
 
 def supported_extents(df: DataFrame, keys: list[str], low: str, high: str, tolerance: float = 3.0, least: int = 2) -> DataFrame:

@@ -62,7 +62,7 @@ def split_questions(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
 
     Stays in the JVM: bodies and captured numbers are two arrays of one length, exploded together.
     """
-    cut = F.slice(F.split(text, HEADER), 2, 1_000_000)
+    cut = F.expr(f"slice(split(`{text}`, '{HEADER}'), 2, greatest(size(split(`{text}`, '{HEADER}')) - 1, 0))".replace("\\", "\\\\"))
     numbers = F.expr(f"regexp_extract_all(`{text}`, '{HEADER}', 1)".replace("\\", "\\\\"))
     zipped = F.arrays_zip(numbers.alias("n"), cut.alias("b"))
     return docs.where(F.col(text).isNotNull()).select(F.col(f"`{doc}`").alias("doc_id"), F.posexplode(zipped).alias("split_no", "z")).select(

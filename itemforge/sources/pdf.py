@@ -216,23 +216,25 @@ def _run(content: bytes, page_no: int, high: float, known: dict, images: dict, d
 
     def show(raws: list):
         nonlocal text
-        shown, begin = "", None
+        shown, begin, edges = "", None, []
         for r in raws:
             if isinstance(r, (int, float)):
                 text = _times((1, 0, 0, 1, -r / 1000 * size, 0), text)
                 if r < -200 and shown and not shown.endswith(" "):
                     shown += " "
+                    edges.append(edges[-1])
                 continue
             for c, w in font.decode(r) if font and isinstance(r, bytes) else ():
                 if begin is None:
                     begin = _times(text, ctm)
+                edges += [_times(text, ctm)[4]] * len(c)
                 shown += c
                 text = _times((1, 0, 0, 1, w / 1000 * size + char_space + (word_space if c == " " else 0), 0), text)
         if begin is not None and shown.strip():
             end = _times(text, ctm)
             scale = abs(begin[3]) or abs(begin[1]) or 1.0
             base = high - begin[5] - rise * scale
-            yield "span", {"page_no": page_no, "x0": begin[4], "y0": base - 0.8 * size * scale, "x1": end[4], "y1": base + 0.2 * size * scale, "text": shown, "size": size * scale, "base": base, "font": font.name, "dir_y": begin[1]}
+            yield "span", {"page_no": page_no, "x0": begin[4], "y0": base - 0.8 * size * scale, "x1": end[4], "y1": base + 0.2 * size * scale, "text": shown, "size": size * scale, "base": base, "font": font.name, "dir_y": begin[1], "xs": [*edges, end[4]]}
 
     def paint(fills: bool, strokes: bool):
         pts = [p for _, ps in path for p in ps]
@@ -314,7 +316,7 @@ def _rgb(n: list) -> list[float]:
 _BOX = "path string, name string, page_no int, ord int, x0 double, y0 double, x1 double, y1 double"
 SCHEMAS = {
     "page": _BOX + ", error string",
-    "span": _BOX + ", text string, size double, base double, font string, dir_y double, error string",
+    "span": _BOX + ", text string, size double, base double, font string, dir_y double, xs array<double>, error string",
     "drawing": _BOX + ", type string, fill array<double>, color array<double>, width double, dashes string, items array<struct<cmd:string,pts:array<struct<x:double,y:double>>>>, error string",
     "image": _BOX + ", error string",
 }

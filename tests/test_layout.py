@@ -44,7 +44,56 @@ def grid():
 
 def test_table_is_structured():
     ruled, words = grid()
-    assert tablegrid.structure((0, 0, 200, 60), ruled, words, [])[1:] == ("", [["cidade", "total"], ["Alfa", "12"], ["Beta", "15"]])
+    assert tablegrid.structure((0, 0, 200, 60), ruled, words, [])[1:] == ("OK", "", [["cidade", "total"], ["Alfa", "12"], ["Beta", "15"]])
+
+
+def test_gate_of_a_table():
+    ruled, words = grid()
+    why = lambda drawings, ws: tablegrid.structure((0, 0, 200, 60), drawings, ws, [])[1]
+    stroke = lambda cmd, *pts: {"x0": 0, "y0": 0, "x1": 200, "y1": 60, "type": "s", "fill": None, "items": [{"cmd": cmd, "pts": [{"x": x, "y": y} for x, y in pts]}]}
+    assert why(ruled, []) == "sem texto" and why([], words) == "poucas réguas horizontais"
+    assert why([*ruled, stroke("c", (5, 5), (6, 9), (8, 9), (9, 9))], words) == "curvas"
+    assert why([*ruled, stroke("l", (5, 5), (30, 30))], words) == "traços diagonais"
+    assert why(ruled, [*words, word(60, 45, "Questão")]) == "alternativas ou cabeçalho de questão na área"
+    assert why(ruled, words[:3]) == "degenerada" and why(ruled, [*words[:5], word(120, 45, "1 2 3")]) == "linhas fundidas"
+    assert [tablegrid.is_fused(c) for c in ("1 2", "5 000", "12", "a 2", "-1 3,5")] == [True, False, False, False, True]
+    title = [word(5, 5, "Vendas"), word(40, 5, "das"), word(60, 5, "cidades"), word(100, 5, "maiores")]
+    got = tablegrid.structure((0, 0, 200, 60), ruled, [*title, *words[2:]], [])
+    assert got[1] == "OK" and got[2] == "Vendas das cidades maiores" and got[3] == [["Alfa", "12"], ["Beta", "15"]]
+
+
+def test_words_and_tables_of_a_page(spark):
+    assert [w[4] for w in tablegrid.words_of("a b\x0fc", [0, 1, 2, 3, 4, 5], 0, 10, 10, 8, "F")] == ["a", "b,c"]
+    ruled, words = grid()
+    found = tablegrid.detected(ruled, tablegrid.framed(words))
+    assert found == [(0.0, 0.0, 200.0, 60.0, 3, 2, [(0.0, 20.0), (20.0, 40.0), (40.0, 60.0)])]
+    spans = spark.createDataFrame([("d", 1, 0.0, 0.0, 50.0, 10.0, "dois nomes", 10.0, 8.0, "F"), ("d", 1, 0.0, 0.0, 5.0, 10.0, None, 10.0, 8.0, None)], BOX + ", text string, size double, base double, font string")
+    assert [(r.text, r.x0, r.x1) for r in tablegrid.page_words(spans).collect()] == [("dois", 0.0, 20.0), ("nomes", 25.0, 50.0)]
+    w = spark.createDataFrame([("d", 1, x.x0, x.y0, x.x1, x.y1, x.text, x.size, x.base, "F") for x in words], BOX + ", text string, size double, base double, font string")
+    d = spark.createDataFrame([line(0, y, 200, y) for y in (0, 20, 40, 60)], DRAW)
+    hits = tablegrid.detect_tables(w, d)
+    assert [(r.row_count, r.col_count) for r in hits.collect()] == [(3, 2)]
+    assert [r.rows for r in tablegrid.structured_tables(hits, w, d).collect()] == [[["cidade", "total"], ["Alfa", "12"], ["Beta", "15"]]]
+
+
+def test_delimiters_bars_and_cut_pieces():
+    P = pagefold.Piece
+    tall = [P(10, y, 14, y + 10, c, 10, y + 8, font="Symbol") for y, c in ((0, "⎛"), (10, "⎜"), (20, "⎝"))]
+    assert [(p.text, p.y0, p.y1) for p in pagefold.stacked(tall)] == [("(", 0, 30)]
+    assert pagefold.underscores([P(0, 0, 20, 10, "____", 10, 8), P(0, 0, 5, 9, "x", 10, 8)])[1] == [(0, 20, 9.5)]
+    both = P(0, 0, 70, 10, "6!     15!", 10, 8, xs=tuple(range(0, 77, 7)))
+    assert [(p.text, p.x0, p.x1) for p in pagefold.cut_at(both, 30)] == [("6!", 0, 14), ("15!", 49, 70)] and pagefold.cut_at(P(0, 0, 9, 9, "ab", 9, 8), 4)[0].text == "ab"
+    sides = [P(100, 92, 142, 102, "6! 15!", 10, 100, xs=(100, 105, 110, 125, 130, 135, 142)), P(101, 107, 108, 117, "2", 10, 115), P(128, 107, 138, 117, "3", 10, 115)]
+    assert pagefold.column_text(sides, [(99.0, 112.0, 104.0), (124.0, 143.0, 104.0)], [], 737.0) == r"$\frac{6!}{2} \frac{15!}{3}$"
+
+
+def test_drawn_root(spark):
+    from itemforge.functions import geometry as G
+
+    pts = [(0.0, 8.0), (2.0, 12.0), (6.0, 0.0), (5.0, 0.0)]
+    shape = ("d", 1, 0.0, 0.0, 6.0, 12.0, "f", [0.0], None, 1.0, "", [("l", [a, b]) for a, b in zip(pts, pts[1:])])
+    df = spark.createDataFrame([shape, line(0, 0, 6, 12)], DRAW)
+    assert [r.r for r in df.select(G.radical_sign().alias("r")).collect()] == [True, False]
 
 
 def test_tables_with_gates(spark):
