@@ -1,19 +1,23 @@
 """Problem 2: language of documents and of the passages inside them.
 
-Method: cross-parsing entropy.  The labelled text of each language goes into a suffix automaton; a text is parsed
-greedily into longest matches of the automaton, and the language that needs fewest phrases for as many characters wins.
-Words are parsed between their own boundaries, so the phrase counts of a word are computed once in each task and kept.
-
-Labels are noisy, so the labelled sample is purged first: its sentences are re-assigned by the parse of the other
-sentences and only clear ones stay.  The sample is bounded by ``SAMPLE_ROWS`` rows of each label, chosen by hash; all
-rows are classified.  Null, empty and wordless texts have no language.
+Method: cross-parsing entropy.  The labelled text of each language, sentence after sentence, goes into a suffix automaton;
+a text is parsed greedily into longest matches of the automaton, across word ends, and the language that needs fewest
+phrases for the same characters wins.  A dynamic programme over the words chooses languages and where they change, at a
+price for each change that is higher inside a sentence than between two.
+
+Parsing goes word by word: what a word does to the state of an automaton (the phrases it closes, the state it leaves) is
+kept, so that a text costs one look-up for each word and language.  Names inside sentences belong to no language.
+
+Labels are noisy, so the labelled sample is purged first: its sentences are parsed by automata of the other half of the
+sample and go to the language that needs fewest phrases, unclear ones to none.  The sample is bounded by ``SAMPLE_ROWS``
+rows of each label, chosen by hash, and ``SAMPLE_CHARS`` characters a language; all rows are classified.  Null, empty and
+wordless texts have no language.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -24,9 +28,11 @@ from itemforge.llm.canonical import Canonizer
 from itemforge.llm.scan import join_broken, strip_running
 
 LANGUAGES = ("pt", "en", "es")
-SAMPLE_ROWS = 400
+SAMPLE_ROWS, SAMPLE_CHARS = 300, 90_000
 MIN_WORDS = 6
-CACHE_WORDS = 400_000
+JUDGES, CACHE_STEPS = 5, 300_000
+#: Prices of a change of language in phrases: between two sentences, and inside one.
+CHANGE, CHANGE_INSIDE = 1.0, 4.0
 _PIECES = re.compile(r"[.!?…“”\"«»\n]+")
 _TABLE_LINE = re.compile(r"^\|.*\|[ \t]*$", re.M)
 _WRAPPED = re.compile(r"[ \t]*\n[ \t]*(?=[a-zà-ÿ])")
@@ -38,110 +44,149 @@ _FORMULA = re.compile(r"\$[^$\n]*\$|https?://\S+|\S+@\S+")
 
 
 class SuffixAutomaton:
-    """All substrings of a text; answers longest matches from a position in time linear in their length."""
+    """All substrings of a text; answers longest matches, word by word."""
 
     def __init__(self, text: str):
-        self.next: list[dict[str, int]] = [{}]
+        follow: list[dict[str, int]] = [{}]
         link, length, last = [-1], [0], 0
         for c in text:
-            cur = len(self.next)
-            self.next.append({})
+            cur = len(follow)
+            follow.append({})
             length.append(length[last] + 1)
             link.append(0)
             p = last
-            while p != -1 and c not in self.next[p]:
-                self.next[p][c] = cur
+            while p != -1 and c not in follow[p]:
+                follow[p][c] = cur
                 p = link[p]
             if p != -1:
-                q = self.next[p][c]
+                q = follow[p][c]
                 if length[p] + 1 == length[q]:
                     link[cur] = q
                 else:
-                    clone = len(self.next)
-                    self.next.append(dict(self.next[q]))
+                    clone = len(follow)
+                    follow.append(dict(follow[q]))
                     length.append(length[p] + 1)
                     link.append(link[q])
-                    while p != -1 and self.next[p].get(c) == q:
-                        self.next[p][c] = clone
+                    while p != -1 and follow[p].get(c) == q:
+                        follow[p][c] = clone
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
+        self.follow = follow
+        self.start = follow[0].get(" ", 0)
+        self.steps: dict[tuple[int, str], tuple[int, int]] = {}
 
-    def phrases(self, text: str) -> int:
-        """Number of longest-match phrases that cover the text; an unknown character is a phrase."""
-        count, i, n, follow = 0, 0, len(text), self.next
-        while i < n:
-            state, j = 0, i
-            while j < n and (to := follow[state].get(text[j])) is not None:
-                state, j = to, j + 1
-            count += 1
-            i = max(j, i + 1)
+    def _read(self, state: int, text: str) -> int | None:
+        """The state after ``text``, or None where no longer match holds it."""
+        for c in text:
+            state = self.follow[state].get(c)
+            if state is None:
+                return None
+        return state
+
+    def _inside(self, word: str) -> int:
+        """Longest-match phrases of a word that the sample does not hold whole; an unknown character is a phrase."""
+        count, at, text = 0, 0, f" {word} "
+        while at < len(text):
+            state, k = 0, at
+            while k < len(text) and (to := self.follow[state].get(text[k])) is not None:
+                state, k = to, k + 1
+            count, at = count + 1, max(k, at + 1)
         return count
 
+    def step(self, state: int, word: str) -> tuple[int, int]:
+        """(state, new phrases) after a word: none while the match goes on, one if the word begins a phrase, more if it falls apart."""
+        found = self.steps.get((state, word))
+        if found is None:
+            if len(self.steps) >= CACHE_STEPS:
+                self.steps.clear()
+            on = self._read(state, word + " ") if state != self.start else None
+            if on is not None:
+                found = on, 0
+            else:
+                begun = self._read(self.start, word + " ")
+                found = (self.start, self._inside(word)) if begun is None else (begun, 1)
+            self.steps[state, word] = found
+        return found
+
+    def phrases(self, words: list[str]) -> int:
+        """Number of longest-match phrases that cover the words."""
+        state, count = self.start, 0
+        for w in words:
+            state, new = self.step(state, w)
+            count += new
+        return count
 
-def _words_of(sentence: str) -> list[str]:
-    """Lower-case words that can tell a language: names inside a sentence are left out."""
-    words = _WORD.findall(sentence)
-    shouted = sum(w.isupper() for w in words) * 2 > len(words)
-    return [w.lower() for k, w in enumerate(words) if k == 0 or shouted or not w[0].isupper()]
+
+def _words_of(sentence: str) -> list[str | None]:
+    """Lower-case words of a sentence; names inside it and words without letters, which tell no language, are None."""
+    words = _ANY_WORD.findall(sentence)
+    odd = [k for k, w in enumerate(words) if not (w.isalpha() and w.islower())]
+    if odd:
+        plain = [bool(_WORD.fullmatch(w)) for w in words]
+        shouted = sum(map(str.isupper, words)) * 2 > sum(plain)
+        first = plain.index(True) if True in plain else 0
+        for k in odd:
+            w = words[k]
+            words[k] = w.lower() if plain[k] and (k == first or shouted or not w[0].isupper()) else None
+    return words
 
 
 class Profile:
-    """One automaton for each language, over the distinct words of its purged sample."""
-
-    def __init__(self, words: dict[str, Counter]):
-        total = {g: sum(c.values()) or 1 for g, c in words.items()}
-        self.languages = tuple(words)
-        self.automata = {}
-        for g in self.languages:
-            keep = [w for w, n in words[g].items() if n / total[g] >= 0.08 * max(words[h][w] / total[h] for h in self.languages)]
-            self.automata[g] = SuffixAutomaton("".join(f" {w} " for w in sorted(keep)))
-        self.rate = {g: {w: n / total[g] for w, n in words[g].items()} for g in self.languages}
-        self.costs: dict[str, tuple[float, ...]] = {}
-
-    def cost(self, word: str) -> tuple[float, ...]:
-        """Phrases of a word by language; a word rarer in one language than in another costs up to a phrase more."""
-        found = self.costs.get(word)
-        if found is None:
-            if len(self.costs) >= CACHE_WORDS:
-                self.costs.clear()
-            rates = [self.rate[g].get(word, 0.0) for g in self.languages]
-            top = max(rates)
-            rare = [min(1.0, 0.4 * math.log10(top / r)) if r else 1.0 for r in rates] if top else [0.0] * len(rates)
-            found = self.costs[word] = tuple(self.automata[g].phrases(f" {word} ") + x for g, x in zip(self.languages, rare))
-        return found
+    """One automaton for each language, over the sentences of its purged sample."""
+
+    def __init__(self, sentences: dict[str, list[list[str]]]):
+        self.languages = tuple(sentences)
+        self.automata = [SuffixAutomaton(_running(sentences[g])) for g in self.languages]
+
+
+def _running(sentences: list[list[str]]) -> str:
+    """Running text: a blank before and behind each word, a sign that no text has between sentences."""
+    return "\n".join(f" {' '.join(s)} " for s in sentences)
+
 
+def _bounded(sentences: list[list[str]], most: int) -> list[list[str]]:
+    """Sentences from the first on, up to so many characters."""
+    out, size = [], 0
+    for s in sentences:
+        size += sum(map(len, s)) + len(s)
+        if size > most:
+            break
+        out.append(s)
+    return out
 
-def fit_words(texts: list[tuple[str, str]], rounds: int = 4) -> dict[str, Counter]:
-    """Word counts of each language from (label, text) rows with noisy labels, purged round by round."""
-    sentences = []
+
+def purged(texts: list[tuple[str, str]], rounds: int = 2) -> dict[str, list[list[str]]]:
+    """Sentences of each language from (label, text) rows with noisy labels.
+
+    The sample's different sentences are halved; each half's sentences go to the language that needs clearly fewest
+    phrases by the median of ``JUDGES`` automata over parts of the other half, so that no wrongly labelled sentence there
+    decides by itself.
+    """
+    found: dict[str, tuple[str, list[str]]] = {}
     for label, text in texts:
         for s in _PIECES.split(_REFERENCE.sub("", text)):
-            w = _words_of(s)
+            w = [x for x in _words_of(s) if x]
             if len(w) >= 4:
-                sentences.append((label, w))
-    given = [label for label, _ in sentences]
-    languages = [g for g in LANGUAGES if g in set(given)]
+                found.setdefault(" ".join(w), (label, w))
+    sentences = list(found.values())
+    languages = [g for g in LANGUAGES if any(label == g for label, _ in sentences)]
+    halves = [sentences[0::2], sentences[1::2]]
     for _ in range(rounds):
-        words = {g: Counter() for g in languages}
-        for g, (_, w) in zip(given, sentences):
-            if g:
-                words[g].update(w)
-        size = {g: sum(c.values()) + 1 for g, c in words.items()}
         fresh = []
-        for _, w in sentences:
-            if not languages:
-                break
-            score = {g: sum(math.log((words[g][x] + 0.05) / size[g]) for x in w) for g in languages}
-            best = sorted(score.values(), reverse=True)
-            clear = len(best) < 2 or best[0] - best[1] > 0.7 * len(w)
-            fresh.append(max(score, key=score.get) if clear else "")
-        given = fresh if languages else given
-    words = {g: Counter() for g in languages}
-    for g, (_, w) in zip(given, sentences):
-        if g:
-            words[g].update(w)
-    return words
+        for mine, other in (halves, halves[::-1]):
+            by = {g: [s for label, s in other if label == g] for g in languages}
+            judges = [[SuffixAutomaton(_running(_bounded(by[g][k::JUDGES], SAMPLE_CHARS // JUDGES))) for k in range(JUDGES)] for g in languages]
+            kept = []
+            for _, w in mine:
+                counts = [sorted(j.phrases(w) for j in js)[JUDGES // 2] for js in judges]
+                low = sorted(counts)
+                if len(low) < 2 or low[1] - low[0] > 0.15 * len(w):
+                    kept.append((languages[counts.index(low[0])], w))
+            fresh.append(kept)
+        halves = fresh
+    both = [s for pair in zip(*halves) for s in pair] + halves[0][len(halves[1]) :] + halves[1][len(halves[0]) :]
+    return {g: _bounded([s for label, s in both if label == g], SAMPLE_CHARS) for g in languages}
 
 
 class Classifier:
@@ -149,6 +194,27 @@ class Classifier:
 
     def __init__(self, profile: Profile):
         self.profile, self.form = profile, Canonizer()
+        start = tuple(a.start for a in profile.automata)
+        self.joint, self.ids = [start], {start: 0}
+        self.steps: dict[tuple[int, str], tuple[int, tuple[int, ...], int]] = {}
+
+    def _step(self, joint: int, word: str) -> tuple[int, tuple[int, ...], int]:
+        """(joint state, new phrases by language, the least of them) of all automata after a word; kept for the next time."""
+        if len(self.steps) >= CACHE_STEPS:
+            del self.joint[1:]
+            self.ids = {self.joint[0]: 0}
+            self.steps.clear()
+            return (0, *self._read(self.joint[0], word)[1:])
+        state, new, least = self._read(self.joint[joint], word)
+        at = self.ids.setdefault(state, len(self.joint))
+        if at == len(self.joint):
+            self.joint.append(state)
+        found = self.steps[joint, word] = (at, new, least)
+        return found
+
+    def _read(self, states: tuple[int, ...], word: str) -> tuple[tuple[int, ...], tuple[int, ...], int]:
+        after, new = zip(*(a.step(s, word) for a, s in zip(self.profile.automata, states)))
+        return after, new, min(new)
 
     def clean(self, text: str) -> str:
         """The text in its undamaged form, as far as it can be told."""
@@ -163,8 +229,30 @@ class Classifier:
             text = _FORMULA.sub(" ", text)
         return text
 
+    def _units(self, text: str) -> Iterator[tuple[float, int, list[int]]]:
+        """(price of a change before it, words, phrases by language) of sentences, and of single words of mixed sentences."""
+        steps, none = self.steps, (0,) * len(self.profile.languages)
+        for piece in _PIECES.split(text):
+            words = _words_of(piece)
+            if not words:
+                continue
+            at, least, costs = 0, 0, []
+            for w in words:
+                if w is not None:
+                    at, new, low = steps.get((at, w)) or self._step(at, w)
+                    costs.append(new)
+                    least += low
+            total = [sum(c) for c in zip(*costs)] or none
+            # What changes inside could save at most; below the price of one, the sentence is of one language.
+            if min(total) - least <= CHANGE_INSIDE:
+                yield CHANGE, len(words), total
+                continue
+            known = iter(costs)
+            for k, w in enumerate(words):
+                yield CHANGE if k == 0 else CHANGE_INSIDE, 1, none if w is None else next(known)
+
     def passages(self, text: str | None) -> list[tuple[str, int, float]]:
-        """(language, words, confidence) of the runs of sentences in one language, in order."""
+        """(language, words, confidence) of the stretches in one language, in order."""
         if not text:
             return []
         if not self.profile.languages:
@@ -172,42 +260,47 @@ class Classifier:
         text = self.clean(text)
         if ", " in text:
             text = _REFERENCE.sub("\n", text)
-        costs, languages = self.profile.costs, self.profile.languages
-        cost, k = self.profile.cost, range(len(languages))
+        units = list(self._units(text))
+        if not units:
+            return []
+        all_ = range(len(self.profile.languages))
+        total = [sum(u[2][g] for u in units) for g in all_]
+        best, path = [0.0] * len(total), []
+        for price, _, cost in units:
+            cheapest = min(all_, key=best.__getitem__)
+            move = best[cheapest] + price
+            frm = [g if best[g] <= move else cheapest for g in all_]
+            best = [min(best[g], move) + cost[g] for g in all_]
+            path.append(frm)
+        g = min(all_, key=best.__getitem__)
         runs: list[list] = []
-        for piece in _PIECES.split(text):
-            n = len(_ANY_WORD.findall(piece))
-            if not n:
-                continue
-            total = [0.0] * len(k)
-            for w in _words_of(piece):
-                c = costs.get(w) or cost(w)
-                for j in k:
-                    total[j] += c[j]
-            low = min(total)
-            rest = sorted(total)
-            margin = rest[1] - low if len(rest) > 1 else float(n)
-            best = total.index(low) if margin >= 1 else -1
-            if runs and runs[-1][0] == best:
+        for frm, (_, n, cost) in zip(reversed(path), reversed(units)):
+            if runs and runs[-1][0] == g:
                 runs[-1][1] += n
-                runs[-1][2] += margin
-            elif best != -1 or not runs:
-                runs.append([best, n, margin])
-        known = [r for r in runs if r[0] != -1]
-        if not known:
-            return [("und", sum(r[1] for r in runs), 0.0)] if runs else []
+                runs[-1][2] = [a + b for a, b in zip(runs[-1][2], cost)]
+            else:
+                runs.append([g, n, list(cost)])
+            g = frm[g]
         merged: list[list] = []
-        for r in known:
-            if merged and merged[-1][0] == r[0]:
-                merged[-1][1] += r[1]
-                merged[-1][2] += r[2]
+        for g, n, cost in reversed(runs):
+            rest = min((cost[h] for h in all_ if h != g), default=cost[g] + n)
+            margin = rest - cost[g]
+            if margin < 1 and len(runs) > 1:  # a stretch that no language explains better goes with what is before it
+                if merged:
+                    merged[-1][1] += n
+                continue
+            if merged and merged[-1][0] == g:
+                merged[-1][1] += n
+                merged[-1][2] += margin
             else:
-                merged.append(r)
-        return [(languages[b], n, 1 - math.exp(-m)) for b, n, m in merged]
+                merged.append([g, n, margin])
+        if not merged or len(merged) == 1 and merged[0][2] < 1:
+            return [("und", sum(u[1] for u in units), 0.0)]
+        return [(self.profile.languages[g], n, 1 - math.exp(-m)) for g, n, m in merged]
 
 
-def fit_profile(df: DataFrame, id_col: str, label_col: str, text_col: str, sample_rows: int = SAMPLE_ROWS) -> dict[str, Counter]:
-    """Word counts by language from a bounded sample: ``sample_rows`` rows of each label, by hash of the key."""
+def fit_profile(df: DataFrame, id_col: str, label_col: str, text_col: str, sample_rows: int = SAMPLE_ROWS) -> dict[str, list[list[str]]]:
+    """Sentences by language from a bounded sample: ``sample_rows`` rows of each label, by hash of the key."""
     rows = []
     base = df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{label_col}`").alias("g"), F.col(f"`{text_col}`").alias("t"))
     parts = [base.where((F.col("g") == g) & (F.length("t") > 0)).orderBy(F.xxhash64("i"), "i").limit(sample_rows) for g in LANGUAGES]
@@ -217,10 +310,10 @@ def fit_profile(df: DataFrame, id_col: str, label_col: str, text_col: str, sampl
     form = Canonizer()
     for r in union.collect():
         rows.append((r.g, join_broken(strip_running(form.canonical(form.garbled.restore(r.t))))))
-    return fit_words(rows)
+    return purged(rows)
 
 
-def passages(df: DataFrame, id_col: str, fields: list[str], words: dict[str, Counter]) -> DataFrame:
+def passages(df: DataFrame, id_col: str, fields: list[str], words: dict[str, list[list[str]]]) -> DataFrame:
     """(id_linha, campo, ordem, idioma, palavras, confianca): the passages of every field; no shuffle.
 
     Null, empty and wordless fields give no row; an undecidable field gives ``und`` with confidence 0; repeated rows
@@ -242,7 +335,7 @@ def passages(df: DataFrame, id_col: str, fields: list[str], words: dict[str, Cou
     return map_rows(df.select(*[F.col(f"`{c}`") for c in (id_col, *fields)]), make, "id_linha bigint, campo string, ordem int, idioma string, palavras int, confianca double")
 
 
-def language_cases(df: DataFrame, id_col: str, label_col: str, fields: list[str], words: dict[str, Counter]) -> DataFrame:
+def language_cases(df: DataFrame, id_col: str, label_col: str, fields: list[str], words: dict[str, list[list[str]]]) -> DataFrame:
     """(id_linha, campo, idioma): languages with a passage of at least six words that differ from the row's label.
 
     A null, empty or unknown label differs from every language; no row comes twice for a row of ``df``; no shuffle.

@@ -58,18 +58,21 @@ def test_repair(reader):
 # 2 --------------------------------------------------------------------------------------------------------------------
 
 
-def test_automaton_finds_all_substrings():
+def test_automaton_parses_across_words():
     text = "abracadabra"
     a = language.SuffixAutomaton(text)
     for i in range(len(text)):
         for j in range(i + 1, len(text) + 1):
-            assert a.phrases(text[i:j]) == 1
-    assert a.phrases("zz") == 2 and a.phrases("abrax") == 2 and a.phrases("") == 0
+            assert a._read(0, text[i:j]) is not None
+    assert a._read(0, "zz") is None and a._read(0, "abrax") is None
+    a = language.SuffixAutomaton(language._running([["o", "menino", "leu", "o", "texto"], ["a", "médica", "leu"]]))
+    assert a.phrases(["o", "menino", "leu"]) == 1 and a.phrases(["a", "médica", "leu", "o", "texto"]) == 2 and a.phrases([]) == 0
+    assert a.phrases(["leu", "a"]) == 2 and a.phrases(["menina"]) == 2
 
 
 def test_languages_of_held_out_sentences(pipeline):
     rows = [(g, t) for g, t in zip(pipeline.TX_IDIOMA, pipeline.DESC_ENUNCIADO) if g in language.LANGUAGES and t]
-    tell = language.Classifier(language.Profile(language.fit_words(rows[:900])))
+    tell = language.Classifier(language.Profile(language.purged(rows[:900])))
     cases = {
         "pt": "Segundo o informe, o menino imitou a cadeia alimentar e somou muitos metros em duas semanas.",
         "en": "For the doctor, it takes time to determine the symphony, since the stage separates the costume.",
@@ -80,6 +83,12 @@ def test_languages_of_held_out_sentences(pipeline):
     mixed = [x for x, n, c in tell.passages(" ".join(cases.values())) if n >= 6 and c > 0.9]
     assert mixed == ["pt", "en", "es"]
     assert tell.passages("") == [] and tell.passages(None) == [] and tell.passages("12 34") == [("und", 2, 0.0)]
+    inside = {
+        ("pt", "en"): "Na aula de hoje o professor explicou que the water cycle starts when the sun heats the sea e depois pediu um resumo aos alunos da turma.",
+        ("es", "en"): "Por eso la médica dijo en clase que the results of the survey show that most of the people agree y luego pidió un resumen otra vez.",
+    }
+    for languages, t in inside.items():
+        assert {x for x, n, _ in tell.passages(t) if n >= 6} >= set(languages)
 
 
 # 3 and 6 --------------------------------------------------------------------------------------------------------------
