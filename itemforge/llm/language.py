@@ -32,7 +32,7 @@ SAMPLE_ROWS, SAMPLE_CHARS = 300, 90_000
 MIN_WORDS = 6
 JUDGES, CACHE_STEPS = 5, 300_000
 #: Prices of a change of language in phrases: between two sentences, and inside one.
-CHANGE, CHANGE_INSIDE = 1.0, 4.0
+CHANGE, CHANGE_INSIDE = 1.0, 3.0
 _PIECES = re.compile(r"[.!?…“”\"«»\n]+")
 _TABLE_LINE = re.compile(r"^\|.*\|[ \t]*$", re.M)
 _WRAPPED = re.compile(r"[ \t]*\n[ \t]*(?=[a-zà-ÿ])")
