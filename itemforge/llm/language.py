@@ -8,16 +8,16 @@ price for each change that is higher inside a sentence than between two.
 Parsing goes word by word: what a word does to the state of an automaton (the phrases it closes, the state it leaves) is
 kept, so that a text costs one look-up for each word and language.  Names inside sentences belong to no language.
 
-Labels are noisy, so the labelled sample is purged first: its sentences are parsed by automata of the other half of the
-sample and go to the language that needs fewest phrases, unclear ones to none.  The sample is bounded by ``SAMPLE_ROWS``
-rows of each label, chosen by hash, and ``SAMPLE_CHARS`` characters a language; all rows are classified.  Null, empty and
-wordless texts have no language.
+Labels are noisy, so the labelled sample is purged first by the likelihood of each sentence's words; parsing needs text
+that is of one language almost throughout.  The sample is bounded by ``SAMPLE_ROWS`` rows of each label, chosen by hash,
+and ``SAMPLE_CHARS`` characters a language; all rows are classified.  Null, empty and wordless texts have no language.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -28,9 +28,9 @@ from itemforge.llm.canonical import Canonizer
 from itemforge.llm.scan import join_broken, strip_running
 
 LANGUAGES = ("pt", "en", "es")
-SAMPLE_ROWS, SAMPLE_CHARS = 300, 90_000
+SAMPLE_ROWS, SAMPLE_CHARS = 400, 120_000
 MIN_WORDS = 6
-JUDGES, CACHE_STEPS = 5, 300_000
+CACHE_STEPS = 300_000
 #: Prices of a change of language in phrases: between two sentences, and inside one.
 CHANGE, CHANGE_INSIDE = 1.0, 3.0
 _PIECES = re.compile(r"[.!?…“”\"«»\n]+")
@@ -121,11 +121,13 @@ class SuffixAutomaton:
 def _words_of(sentence: str) -> list[str | None]:
     """Lower-case words of a sentence; names inside it and words without letters, which tell no language, are None."""
     words = _ANY_WORD.findall(sentence)
-    odd = [k for k, w in enumerate(words) if not (w.isalpha() and w.islower())]
-    if odd:
-        plain = [bool(_WORD.fullmatch(w)) for w in words]
-        shouted = sum(map(str.isupper, words)) * 2 > sum(plain)
-        first = plain.index(True) if True in plain else 0
+    odd = [k for k, w in enumerate(words) if not (w.islower() and w.isalpha())]
+    if odd == [0] and words[0].isalpha() and len(words) > 2:
+        words[0] = words[0].lower()
+    elif odd:
+        plain = {k: words[k].isalpha() or bool(_WORD.fullmatch(words[k])) for k in odd}
+        shouted = sum(words[k].isupper() for k in odd) * 2 > len(words) - len(odd) + sum(plain.values())
+        first = next((k for k in range(len(words)) if plain.get(k, True)), 0)
         for k in odd:
             w = words[k]
             words[k] = w.lower() if plain[k] and (k == first or shouted or not w[0].isupper()) else None
@@ -156,12 +158,11 @@ def _bounded(sentences: list[list[str]], most: int) -> list[list[str]]:
     return out
 
 
-def purged(texts: list[tuple[str, str]], rounds: int = 2) -> dict[str, list[list[str]]]:
-    """Sentences of each language from (label, text) rows with noisy labels.
+def purged(texts: list[tuple[str, str]], rounds: int = 4) -> dict[str, list[list[str]]]:
+    """Different sentences of each language from (label, text) rows with noisy labels.
 
-    The sample's different sentences are halved; each half's sentences go to the language that needs clearly fewest
-    phrases by the median of ``JUDGES`` automata over parts of the other half, so that no wrongly labelled sentence there
-    decides by itself.
+    Round by round, each sentence goes to the language that most likely wrote its words by the counts of the round before;
+    sentences that no language clearly wrote leave.  This only cleans the sample; languages are told by parsing.
     """
     found: dict[str, tuple[str, list[str]]] = {}
     for label, text in texts:
@@ -170,23 +171,21 @@ def purged(texts: list[tuple[str, str]], rounds: int = 2) -> dict[str, list[list
             if len(w) >= 4:
                 found.setdefault(" ".join(w), (label, w))
     sentences = list(found.values())
-    languages = [g for g in LANGUAGES if any(label == g for label, _ in sentences)]
-    halves = [sentences[0::2], sentences[1::2]]
-    for _ in range(rounds):
-        fresh = []
-        for mine, other in (halves, halves[::-1]):
-            by = {g: [s for label, s in other if label == g] for g in languages}
-            judges = [[SuffixAutomaton(_running(_bounded(by[g][k::JUDGES], SAMPLE_CHARS // JUDGES))) for k in range(JUDGES)] for g in languages]
-            kept = []
-            for _, w in mine:
-                counts = [sorted(j.phrases(w) for j in js)[JUDGES // 2] for js in judges]
-                low = sorted(counts)
-                if len(low) < 2 or low[1] - low[0] > 0.15 * len(w):
-                    kept.append((languages[counts.index(low[0])], w))
-            fresh.append(kept)
-        halves = fresh
-    both = [s for pair in zip(*halves) for s in pair] + halves[0][len(halves[1]) :] + halves[1][len(halves[0]) :]
-    return {g: _bounded([s for label, s in both if label == g], SAMPLE_CHARS) for g in languages}
+    given = [label for label, _ in sentences]
+    languages = [g for g in LANGUAGES if g in set(given)]
+    for _ in range(rounds if languages else 0):
+        words = {g: Counter() for g in languages}
+        for g, (_, w) in zip(given, sentences):
+            if g:
+                words[g].update(w)
+        size = {g: sum(c.values()) + 1 for g, c in words.items()}
+        given = []
+        for _, w in sentences:
+            score = {g: sum(math.log((words[g][x] + 0.05) / size[g]) for x in w) for g in languages}
+            best = sorted(score.values(), reverse=True)
+            clear = len(best) < 2 or best[0] - best[1] > 0.7 * len(w)
+            given.append(max(score, key=score.get) if clear else "")
+    return {g: _bounded([w for label, (_, w) in zip(given, sentences) if label == g], SAMPLE_CHARS) for g in languages}
 
 
 class Classifier:
@@ -239,10 +238,13 @@ class Classifier:
             at, least, costs = 0, 0, []
             for w in words:
                 if w is not None:
-                    at, new, low = steps.get((at, w)) or self._step(at, w)
+                    try:
+                        at, new, low = steps[at, w]
+                    except KeyError:
+                        at, new, low = self._step(at, w)
                     costs.append(new)
                     least += low
-            total = [sum(c) for c in zip(*costs)] or none
+            total = [*map(sum, zip(*costs))] or none
             # What changes inside could save at most; below the price of one, the sentence is of one language.
             if min(total) - least <= CHANGE_INSIDE:
                 yield CHANGE, len(words), total
