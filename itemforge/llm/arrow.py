@@ -5,8 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from itemforge.session import ship
@@ -57,3 +59,50 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]],
                 yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(zip(*rows), target)], schema=target)
 
     return df.mapInArrow(run, struct)
+
+
+class Bits:
+    """A table of bits by the low part of a hash."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether a hash may be in the table; never no for one that is."""
+        k = hashes & (32 * len(self.words) - 1)
+        return (self.words[k >> 5] >> (k & 31).astype(np.uint32)) & np.uint32(1) == 1
+
+
+class Bitmap:
+    """A broadcast table of ``1 << bits`` bits that the values of a hash column set; its size does not grow with the data."""
+
+    def __init__(self, df: DataFrame, column: str, bits: int):
+        low = F.col(column).bitwiseAND((1 << bits) - 1)
+        mask = F.bit_or(F.expr("shiftleft(1L, cast(k & 31 as int))")).alias("m")
+        rows = df.select(low.alias("k")).groupBy(F.shiftright("k", 5).cast("int").alias("w")).agg(mask).toArrow()
+        words = np.zeros(1 << (bits - 5), np.int64)
+        words[rows.column("w").to_numpy()] = rows.column("m").to_numpy()
+        self.box = df.sparkSession.sparkContext.broadcast(Bits(words.astype(np.uint32)))
+
+    @property
+    def value(self) -> Bits:
+        return self.box.value
+
+    def keep(self, df: DataFrame, column: str) -> DataFrame:
+        """Rows whose hash may be in the table, each hash once in a task; no shuffle."""
+        at, box = df.columns.index(column), self.box
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            met: set[int] = set()
+            for batch in batches:
+                h = batch.column(at).to_numpy(zero_copy_only=False)
+                fresh = []
+                for i in np.flatnonzero(box.value.holds(h)).tolist():
+                    if h[i] not in met:
+                        fresh.append(i)
+                        if len(met) < 1_000_000:
+                            met.add(int(h[i]))
+                if fresh:
+                    yield batch.take(pa.array(fresh))
+
+        return df.mapInArrow(run, df.schema)

@@ -126,9 +126,11 @@ def p7_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p9_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Candidate leaks with their alignment score and longest verbatim run."""
+    """Verbatim leaks and edited copies with their alignment score and longest verbatim run."""
     docs, items = texts(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "eval_items", "item_id", "text")
-    return leaks.leaked_passages(docs, "doc_id", "text", items, "item_id", "text")
+    found = leaks.leaked_passages(docs, "doc_id", "text", items, "item_id", "text")
+    kind = F.when(F.col("palavras_seguidas") >= leaks.RUN, "literal").when(F.col("pontos") >= leaks.EDITED, "editado")
+    return found.withColumn("tipo", kind).where("tipo is not null")
 
 
 def p10_masked(spark: SparkSession, sf: str) -> DataFrame:

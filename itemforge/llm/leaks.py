@@ -1,13 +1,17 @@
 """Problem 9: passages of held-out items inside a corpus.
 
-Method: rare n-gram seeds join documents to items, Smith-Waterman alignment over words scores each candidate pair.  The
-rarity of every item n-gram is counted over all documents; of each window of ``RUN`` item words the rarest n-gram
-becomes a seed, so no shared run of that length can lack one.  An exact check (the longest run of equal words on a
-diagonal of the alignment) follows where a verbatim run is asked for.
+Method: rare n-gram seeds join documents to items, Smith-Waterman alignment over words scores each candidate pair and
+decides.  One way serves any number of items: a bitmap of fixed size holds the n-grams of all items, the documents that
+meet it give their n-grams, the rarity of every item n-gram is counted over them, and of each stretch of ``STRETCH`` item
+words the rarest n-gram becomes a seed, so that no shared stretch of that length can lack one.  Seeds and documents join
+on the n-gram; only the texts of candidates are read again, each different text once.
+
+A pair is kept from ``POINTS`` on, what a verbatim passage of ``RUN`` words scores; edited copies lose a point for each
+word changed, added or left out.  Where a verbatim run is asked for, an exact check follows (the longest run of equal
+words on a diagonal of the alignment).
 
 Words are the longest runs of letters and digits without case and accents; marks and invisible characters inside a word
-do not end it.  Null and empty texts and items shorter than the run give no pair.  Items are handled in blocks of at
-most ``BLOCK_ITEMS``; one block is what a task holds.
+do not end it.  Null and empty texts and items shorter than the run give no pair.
 """
 
 from __future__ import annotations
@@ -19,12 +23,17 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from itemforge.llm.arrow import Shared, map_rows, once
+from itemforge.llm.arrow import Bitmap, map_rows
+from itemforge.session import checkpoint_dir
 
-SEED, RUN = 6, 12
-BLOCK_ITEMS = 5_000
+SEED, STRETCH, RUN = 6, 9, 12
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Score from which a pair is kept, and from which one without a verbatim run counts as an edited copy.
+POINTS, EDITED = RUN * MATCH, 40
+#: Bits of the tables of item n-grams and of candidate texts.
+BITS = 24
 _WORD = re.compile(r"[^\W_]+")
 _INSIDE = re.compile("[̀-ͯ\u00ad\u200b-\u200f\u2060\ufeff]")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -87,85 +96,71 @@ def align(doc: np.ndarray, item: np.ndarray) -> tuple[int, int]:
     return best, longest
 
 
-class Seeds:
-    """Seeds of one block of items: n-gram -> items, with the items' codes."""
-
-    def __init__(self, block: tuple[list[int], list[np.ndarray], dict[int, int]]):
-        self.ids, self.codes, rarity = block
-        found: dict[int, set[int]] = {}
-        for k, c in enumerate(self.codes):
-            g = grams(c).tolist()
-            width = RUN - SEED + 1
-            for s in range(max(0, len(g) - width + 1)):
-                window = g[s : s + width]
-                found.setdefault(min(window, key=lambda h: (rarity.get(h, 0), h)), set()).add(k)
-        self.keys = np.array(sorted(found), dtype=np.uint64)
-        self.items = [sorted(found[int(h)]) for h in self.keys]
-
-
-def _batched(texts: list, words: Words, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row, codes, positions in ``keys``) of the texts with at least one n-gram in the sorted ``keys``."""
-    if not len(keys):
-        return
-    for row, t in enumerate(texts):
-        codes = words.codes(t)
-        g = grams(codes)
-        if not len(g):
-            continue
-        at = np.searchsorted(keys, g)
-        at[at == len(keys)] = 0
-        hit = keys[at] == g
-        if hit.any():
-            yield row, codes, np.unique(at[hit])
+def item_seeds(items: DataFrame, matched: DataFrame) -> DataFrame:
+    """(g, item): of every window of n-grams that a stretch of ``STRETCH`` words holds, the one that fewest documents have."""
+    seen = matched.select(F.explode("gs").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    ranked = items.select("item", F.posexplode("gs").alias("pos", "g")).join(seen, "g", "left").select("item", "pos", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g").alias("r"))
+    width = STRETCH - SEED + 1
+    w = W.partitionBy("item").orderBy("pos")  # an item's words, bounded by its text
+    least = ranked.select("item", F.min("r").over(w.rowsBetween(0, width - 1)).alias("r"), F.count(F.lit(1)).over(w.rowsBetween(0, width - 1)).alias("m"))
+    return least.where(F.col("m") == width).select(F.col("r.g").alias("g"), "item").distinct()
 
 
 def leaked_passages(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str) -> DataFrame:
-    """(doc_id, item_id, pontos, palavras_seguidas) of every document and item that share a seed; no shuffle of texts.
+    """(doc_id, item_id, pontos, palavras_seguidas) of every document and item that align to at least ``POINTS``.
 
-    Null and empty texts, null item keys and items of fewer than ``RUN`` words give no row; repeated documents repeat.
-    Other columns are ignored, whatever their names; an empty table gives an empty table.
-    The number of items is read first; each block of at most ``BLOCK_ITEMS`` items is broadcast on its own.
+    Null and empty texts, null item keys and items of fewer than ``RUN`` words give no row; repeated documents repeat,
+    repeated items count once.  Other columns are ignored, whatever their names; an empty table gives an empty table.
+    Texts are told apart by two hashes of 96 bits together; only texts of candidates are shuffled.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(f"`{doc_id}`").alias("i"), F.col(f"`{text}`").alias("t"))
-    queries = items.select(F.col(f"`{item_id}`").alias("i"), F.col(f"`{item_text}`").alias("t")).where("i is not null and length(t) > 0")
-    n_blocks = max(1, -(-queries.count() // BLOCK_ITEMS))
-    parts = []
-    for b in range(n_blocks):
-        rows = queries.where(F.pmod(F.xxhash64("i"), F.lit(n_blocks)) == b).orderBy("i").collect()
-        coder = Words()
-        ids, codes = [r.i for r in rows], [coder.codes(r.t) for r in rows]
-        keys = np.unique(np.concatenate([grams(c) for c in codes])) if rows else np.zeros(0, np.uint64)
-        held_keys = spark.sparkContext.broadcast(keys)
-
-        def count(held=held_keys):
-            words = Words()
-
-            def work(ts: list) -> Iterator[tuple]:
-                total = np.zeros(len(held.value), np.int64)
-                for _, _, at in _batched(ts, words, held.value):
-                    total[at] += 1
-                yield from ((int(k), int(n)) for k, n in enumerate(total) if n)
-
-            return work
-
-        counted = map_rows(source.select("t"), count, "k int, n bigint").groupBy("k").agg(F.sum("n").alias("n")).collect()
-        rarity = {int(keys[r.k]): r.n for r in counted}
-        held = Shared(spark, (ids, codes, rarity))
-
-        def join(held=held):
-            seeds, words = once(held, Seeds), Words()
-
-            def work(ds: list, ts: list) -> Iterator[tuple]:
-                for row, codes, at in _batched(ts, words, seeds.keys):
-                    for k in sorted({k for a in at for k in seeds.items[a]}):
-                        points, run = align(codes, seeds.codes[k])
-                        yield ds[row], seeds.ids[k], points, run
-
-            return work
-
-        parts.append(map_rows(source, join, "doc_id bigint, item_id bigint, pontos int, palavras_seguidas int"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    checkpoint_dir(spark)
+    source = docs.select(F.col(f"`{doc_id}`").alias("i"), F.col(f"`{text}`").alias("t")).where("length(t) > 0")
+    source = source.select("i", "t", F.xxhash64("t").alias("h"), F.crc32("t").alias("c"))
+    queries = items.select(F.col(f"`{item_id}`").alias("item"), F.col(f"`{item_text}`").alias("t")).where("item is not null and length(t) > 0").distinct()
+
+    def item_grams():
+        words = Words()
+
+        def work(ids: list, ts: list) -> Iterator[tuple]:
+            for i, t in zip(ids, ts):
+                codes = words.codes(t)
+                if len(codes) >= RUN:
+                    yield i, t, grams(codes).view(np.int64).tolist()
+
+        return work
+
+    known = map_rows(queries, item_grams, "item bigint, t string, gs array<bigint>").checkpoint()
+    held = Bitmap(known.select(F.explode("gs").alias("g")), "g", BITS)
+
+    def document_grams():
+        words, bits = Words(), held.value
+
+        def work(ids: list, hs: list, cs: list, ts: list) -> Iterator[tuple]:
+            for i, h, c, t in zip(ids, hs, cs, ts):
+                g = grams(words.codes(t)).view(np.int64)
+                if len(g) and (hit := bits.holds(g)).any():
+                    yield i, h, c, np.unique(g[hit]).tolist()
+
+        return work
+
+    matched = map_rows(source.select("i", "h", "c", "t"), document_grams, "i bigint, h bigint, c bigint, gs array<bigint>").checkpoint()
+    texts = matched.select("h", "c", "gs").groupBy("h", "c").agg(F.first("gs").alias("gs"))
+    met = texts.select("h", "c", F.explode("gs").alias("g")).join(item_seeds(known, matched), "g").select("h", "c", "item").distinct().checkpoint()
+    wanted = Bitmap(met.select("h"), "h", BITS)
+    chosen = wanted.keep(source.select("h", "c", "t"), "h").groupBy("h", "c").agg(F.first("t").alias("t"))
+
+    def scored():
+        words = Words()
+
+        def work(hs: list, cs: list, its: list, ds: list, qs: list) -> Iterator[tuple]:
+            for h, c, item, d, q in zip(hs, cs, its, ds, qs):
+                points, run = align(words.codes(d), words.codes(q))
+                if points >= POINTS:
+                    yield h, c, item, points, run
+
+        return work
+
+    pairs = met.join(chosen, ["h", "c"]).join(known.select("item", F.col("t").alias("q")), "item").select("h", "c", "item", "t", "q")
+    hits = map_rows(pairs, scored, "h bigint, c bigint, item_id bigint, pontos int, palavras_seguidas int")
+    return matched.select(F.col("i").alias("doc_id"), "h", "c").join(hits, ["h", "c"]).select("doc_id", "item_id", "pontos", "palavras_seguidas")

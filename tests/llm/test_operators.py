@@ -266,13 +266,30 @@ def test_alignment_scores_edited_copies():
     assert leaks.align(coder.codes(""), a) == (0, 0)
 
 
-def test_items_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(leaks, "BLOCK_ITEMS", 50)
+def test_a_full_table_of_bits_changes_nothing(spark, monkeypatch):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/eval_items.parquet")
-    many = leaks.leaked_passages(docs, "doc_id", "text", items, "item_id", "text").where("palavras_seguidas >= 12")
-    monkeypatch.setattr(leaks, "BLOCK_ITEMS", 5000)
-    one = leaks.leaked_passages(docs, "doc_id", "text", items, "item_id", "text").where("palavras_seguidas >= 12")
-    assert {tuple(r)[:2] for r in many.collect()} == {tuple(r)[:2] for r in one.collect()}
+    found = []
+    for bits in (24, 6):
+        monkeypatch.setattr(leaks, "BITS", bits)
+        found.append({tuple(r) for r in leaks.leaked_passages(docs, "doc_id", "text", items, "item_id", "text").collect()})
+    assert found[0] == found[1] and all(r[2] >= leaks.POINTS for r in found[0])
+
+
+def test_edited_copies_are_found(spark):
+    """Passages of 60 words with every tenth word changed, left out or doubled: at least nine in ten score as edited copies."""
+    rng = random.Random(4)
+    vocabulary = [f"p{k}" for k in range(2000)]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(120))) for k in range(60)]
+    docs = []
+    for k, t in items:
+        w = t.split()[30:90]
+        for j in range(rng.randrange(10), 60, 10):
+            w[j] = rng.choice([rng.choice(vocabulary), "", w[j] + " " + w[j]])
+        docs.append((k, " ".join(rng.choice(vocabulary) for _ in range(50)) + " " + " ".join(w) + " fim."))
+    docs += [(100 + k, " ".join(rng.choice(vocabulary) for _ in range(150))) for k in range(40)]
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks.leaked_passages(d, "doc_id", "text", i, "item_id", "text").where(f"pontos >= {leaks.EDITED}").collect()}
+    assert len(got & {(k, k) for k in range(60)}) >= 54 and not got - {(k, k) for k in range(60)}
 
 
 # 10 -------------------------------------------------------------------------------------------------------------------
