@@ -28,9 +28,9 @@ from itemforge.llm.canonical import Canonizer
 from itemforge.llm.scan import join_broken, strip_running
 
 LANGUAGES = ("pt", "en", "es")
-SAMPLE_ROWS, SAMPLE_CHARS = 400, 120_000
+SAMPLE_ROWS, SAMPLE_CHARS = 400, 90_000
 MIN_WORDS = 6
-CACHE_STEPS = 300_000
+CACHE_STEPS = 600_000
 #: Prices of a change of language in phrases: between two sentences, and inside one.
 CHANGE, CHANGE_INSIDE = 1.0, 3.0
 _PIECES = re.compile(r"[.!?…“”\"«»\n]+")
@@ -266,7 +266,13 @@ class Classifier:
         if not units:
             return []
         all_ = range(len(self.profile.languages))
-        total = [sum(u[2][g] for u in units) for g in all_]
+        total = [*map(sum, zip(*(u[2] for u in units)))]
+        low = min(total)
+        g = total.index(low)
+        if all(u[2][g] == min(u[2]) for u in units):  # one language is best everywhere, so no change can pay
+            margin = min((x for h, x in enumerate(total) if h != g), default=low + 1) - low
+            n = sum(u[1] for u in units)
+            return [(self.profile.languages[g], n, 1 - math.exp(-margin))] if margin >= 1 else [("und", n, 0.0)]
         best, path = [0.0] * len(total), []
         for price, _, cost in units:
             cheapest = min(all_, key=best.__getitem__)
