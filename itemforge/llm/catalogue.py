@@ -17,7 +17,7 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     """Fields with a trace of the scanned page."""
     fields = ["DESC_ENUNCIADO", "DESC_ALTER_A"]
     df = texts(spark, sf, "pipeline", "ID_LINHA", *fields)
-    return scan.scan_traces(df, "ID_LINHA", fields, scan.fit_lexicon(df, fields)).select("id_linha", "campo")
+    return scan.with_traces(scan.scan_traces(df, "ID_LINHA", fields, scan.fit_lexicon(df, fields), texts=False)).select("id_linha", "campo")
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,7 +95,7 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_repaired(spark: SparkSession, sf: str) -> DataFrame:
-    """Fields with traces as continuous paragraphs, with the traces counted."""
+    """Fields whose text changed as continuous paragraphs, with running lines, broken, misread, torn and glued words counted."""
     fields = ["DESC_ENUNCIADO", "DESC_ALTER_A"]
     df = texts(spark, sf, "pipeline", "ID_LINHA", *fields)
     return scan.scan_traces(df, "ID_LINHA", fields, scan.fit_lexicon(df, fields))

@@ -1,40 +1,34 @@
-"""Problem 1, lines: what a scanned page leaves between the lines of its text."""
+"""Problem 1: what a scanned page leaves in a text, and continuous readable text in its place.
+
+Method: running lines are weighed and taken out (``itemforge.llm.running``); what is left is read as one stream of letters
+across line ends.  Where the stream is odd (a word broken at a line's end, a word that the lexicon does not hold) a lattice
+of readings is laid over its letters and those beside it: lexicon words, known compounds with their hyphen, misread words
+with their confusions undone, and the letters as they are.  A path may join across blanks and line ends and part where
+nothing stood, each at a price; the cheapest path decides words, joins, cuts and confusions together.  A second dynamic
+programme chooses the paragraph ends.
+
+The lexicon comes from all distinct texts: words from a share of them on, letter triples, compounds with a hyphen.
+"""
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 
-_NUMBER = r"\d{1,3}"
-#: Forms of page numbers and running headers or footers of exam booklets.
-PAGE_NUMBER = rf"(?:[\[(|]? ?{_NUMBER} ?[\])|]?|[-–—] ?{_NUMBER} ?[-–—]|{_NUMBER} ?/ ?{_NUMBER}|(?i:p[áa@]g(?:[i1l]n[a@])?\.?) ?{_NUMBER}(?: (?:de|of) {_NUMBER})?)"
-RUNNING = (
-    r"(?:SIMULADO \d{4}(?:\s+SIMULADO \d{4})*"
-    r"|\dº [Dd][Ii][Aa] [-–] Caderno \d{1,2} [-–] \w+"
-    r"|\w{2} \| \dº DIA \| CADERNO \d{1,2} \| \w+(?: \| \d{1,3})?"
-    r"|[A-ZÀ-Ú][A-ZÀ-Ú ,]{3,60}\bTECNOLOGIAS(?: • P[áa]g[i1]na \d{1,3})?"
-    r"|\d{1,3} {2,}[^\W\d][^\n\d]{3,40} - PROVA \w+"
-    r"|\*[A-Z]{2}\d{2,6}[A-Z]{2}\d{1,4}\*)"
-)
-RUNNING_LINE = re.compile(rf"^[ \t]*(?:{PAGE_NUMBER}|{RUNNING})[ \t]*$", re.M)
-#: The same, set at the end of a line without its own line end.
-RUNNING_TAIL = re.compile(rf"(?<=[^\s])[ \t]+{RUNNING}[ \t]*$", re.M)
-#: A word broken at the end of a line.
-BROKEN = re.compile(r"([^\W\d_]{1,30})[-¬‐] ?\n[ \t]*([^\W\d_]{1,30})")
-_HYPHEN_END = re.compile(r"[-¬‐] ?\n")
-_MAYBE = re.compile("SIMULADO|PROVA|TECNOLOGIAS|DIA|[Dd]ia -|\\*")
+from itemforge.llm.running import open_shapes, running, strip_running
 
+__all__ = ["Lexicon", "Reader", "fit_lexicon", "join_broken", "paragraphs", "scan_traces", "strip_running"]
 
-def strip_running(text: str) -> str:
-    """The text without running headers, footers and page numbers, on lines of their own or at a line's end."""
-    if "\n" in text and RUNNING_LINE.search(text):
-        text = re.sub(r"\n\s*\n", "\n", RUNNING_LINE.sub("", text))
-    if _MAYBE.search(text):
-        text = RUNNING_TAIL.sub("", text)
-    return text
+#: Where a running line stood; a sentence it interrupted goes on.
+_CUT = "\ue020"
+#: A word broken at the end of a line, also where running lines stood between its halves.
+BROKEN = re.compile(rf"([^\W\d_]{{1,30}})[-¬‐] ?\n(?:[ \t]*{_CUT}?[ \t]*\n)*[ \t]*([^\W\d_]{{1,30}})")
+_HYPHEN_END = re.compile(r"[-¬‐] ?\n")
 
 
 def join_broken(text: str) -> str:
-    """Words broken across lines made whole; other line ends stay."""
+    """Words broken across lines made whole without a lexicon; other line ends stay."""
     return BROKEN.sub(r"\1\2", text) if _HYPHEN_END.search(text) else text
 
 
@@ -48,7 +42,9 @@ CONFUSIONS = (
     ("c", "e"), ("l", "i"), ("f", "t"), ("ri", "n"), ("ii", "u"), ("rn", "m"), ("h", "li"), ("g", "ç"), ("vv", "w"), ("cl", "d"), ("i", "l"),
 )
 #: A word belongs to the lexicon from this share of all words on, and at least from this count.
-LEXICON_SHARE, LEXICON_LEAST, LEXICON_MOST = 4e-6, 8, 200_000
+LEXICON_SHARE, LEXICON_LEAST = 4e-6, 8
+#: Letter triples count from this share of all words on; a shape of lines recurs from this share of the texts, and this count, on.
+TRIPLE_SHARE, SHAPE_SHARE, SHAPE_LEAST = 1e-6, 2e-4, 8
 #: A lexicon word explains an unknown one only if it is this many times as frequent.
 RATIO = 20
 _TOKEN = re.compile(r"[\w@|]+")
@@ -59,22 +55,35 @@ _ODD = re.compile(r"[0-9@|]")
 _MEASURE = re.compile(r"\d[\d.,]* ?$")
 
 
-def count_words(texts: list[str | None]) -> dict[str, int]:
-    """Lower-case words of letters with their counts; words broken across lines are counted whole."""
-    from collections import Counter
+_COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
+#: Prices: a confusion, a blank dropped, a blank set, a letter of a word that the lexicon does not hold.
+CONFUSED, DROPPED, SET, UNKNOWN = 4.0, 3.0, 3.0, 3.5
+#: Beside these signs, the last of which stands for a lost character, a word is part of a longer one.
+_BESIDE = "-’'\ufffd"
+#: Words of one letter that a path may use, and the longest piece of a path.
+SHORT_WORDS, LONGEST_PIECE = "aoeéày", 40
+
 
+def count_words(texts: list[str | None]) -> dict[str, int]:
+    """Lower-case words of letters and compounds with their counts, words broken across lines counted whole; open shapes of lines
+    under a line end."""
     found: Counter[str] = Counter()
     for t in texts:
         if t:
-            found.update(_PLAIN.findall(join_broken(t).lower()))
+            if "\n" in t:
+                found.update("\n" + s for s in open_shapes(t))
+            t = join_broken(t).lower()
+            found.update(_PLAIN.findall(t))
+            if "-" in t:
+                found.update(_COMPOUND.findall(t))
     return found
 
 
 class Lexicon:
-    """Frequent words and the letter triples of all words, both with counts."""
+    """Frequent words, the letter triples of all words and compounds with a hyphen, all with counts; shapes of lines that recur."""
 
-    def __init__(self, words: dict[str, int], triples: dict[str, int], total: int):
-        self.words, self.triples, self.total = words, triples, max(total, 1)
+    def __init__(self, words: dict[str, int], triples: dict[str, int], total: int, compounds: dict[str, int] | None = None, shapes: frozenset[str] = frozenset()):
+        self.words, self.triples, self.total, self.compounds, self.shapes = words, triples, max(total, 1), compounds or {}, shapes
 
 
 def without_misreadings(words: dict[str, int]) -> dict[str, int]:
@@ -91,6 +100,7 @@ class Reader:
 
         self.lexicon, self.form = lexicon, Canonizer()
         self.known: dict[str, str | None] = {}
+        self.paths: dict[tuple[str, ...], tuple[str, tuple[str, ...]]] = {}
         self.by_first: dict[str, list[tuple[str, str]]] = {}
         for seen, meant in CONFUSIONS:
             self.by_first.setdefault(seen[0], []).append((seen, meant))
@@ -154,94 +164,149 @@ class Reader:
                 best, found = there, v
         return found
 
-    def traces(self, text: str | None) -> list[tuple[str, int, int, str]]:
-        """(kind, begin, end, replacement) of every trace, in order; null, empty and clean texts give none.
+    def _price(self, word: str) -> float:
+        return math.log(self.lexicon.total / self.lexicon.words[word])
+
+    def path(self, units: tuple[str, ...], broken: bool = False) -> tuple[str, tuple[str, ...]]:
+        """(text, what was done) of the cheapest path over the letters of neighbouring units (kept in a cache).
 
-        Kinds: ``linha`` (running header, footer or page number), ``quebra`` (word broken across lines), ``sinal``
-        (misrecognised character).  Positions refer to the canonical form of the text.
+        Units are the halves of a broken word, or words beside each other.  A piece is a lexicon word, a known compound over
+        a broken end, a unit (or the whole of a broken word) with its confusions undone, or one left as it is.
         """
-        if not text:
-            return []
-        out: list[tuple[str, int, int, str]] = []
-        if "\n" in text:
-            if text.strip().count("\n"):
-                out += [("linha", m.start(), m.end(), "") for m in RUNNING_LINE.finditer(text) if m.group().strip()]
-            if _HYPHEN_END.search(text):
-                out += [("quebra", m.start(1), m.end(2), m.group(1) + m.group(2)) for m in BROKEN.finditer(text)]
-                out += [("quebra", m.start(1), m.end(3), m.group(1) + m.group(3)) for m in _BROKEN_BY_LINE.finditer(text)]
-        if _MAYBE.search(text):
-            own = [(b, e) for kind, b, e, _ in out if kind == "linha"]
-            out += [("linha", m.start(), m.end(), "") for m in RUNNING_TAIL.finditer(text) if not any(b <= m.start() < e for b, e in own)]
-        covered = sorted((b, e) for _, b, e, _ in out)
-        at = 0
-        skip = [m.span() for m in _SKIPPED.finditer(text)] if "$" in text or "@" in text or "http" in text else []
-        skip = sorted(covered + skip)
+        key = (*units, "-" if broken else " ")
+        if key in self.paths:
+            return self.paths[key]
+        if len(self.paths) > 200_000:
+            self.paths.clear()
+        words, letters = self.lexicon.words, "".join(units)
+        ends = {0}
+        for u in units:
+            ends.add(max(ends) + len(u))
+        n = len(letters)
+        inner = ends - {0, n}
+        best: list[tuple[float, str, tuple[str, ...]] | None] = [(0.0, "", ())] + [None] * n
+        for e in range(1, n + 1):
+            for b in range(max(0, e - LONGEST_PIECE) if n <= LONGEST_PIECE else 0, e):
+                if best[b] is None or n > LONGEST_PIECE and not (b in ends and e in ends):
+                    continue
+                piece, crossed = letters[b:e], [k for k in inner if b < k < e]
+                low = piece.lower()
+                whole = (b, e) == (0, n) if broken else b in ends and e in ends and not crossed
+                options: list[tuple[float, str, tuple[str, ...]]] = []
+                if low in words and (len(low) > 1 or low in SHORT_WORDS):
+                    options.append((self._price(low), piece, ()))
+                elif whole:
+                    options.append((UNKNOWN * len(piece), piece, ()))
+                    if (r := self.reading(piece) if _candidate(piece) else None) is not None:
+                        options.append((self._price(r.lower()) + CONFUSED if r.lower() in words else UNKNOWN * len(piece) - 1, r, ("sinal",)))
+                if broken and whole and (compound := "-".join(units).lower()) in self.lexicon.compounds:
+                    options.append((math.log(self.lexicon.total / self.lexicon.compounds[compound]), "-".join(units), ()))
+                for cost, text, done in options:
+                    if broken:
+                        done += ("quebra",) * bool(crossed or e in inner)
+                    else:
+                        cost += DROPPED * len(crossed)
+                        done += ("corte",) * len(crossed)
+                    if e < n and (broken or e not in inner):
+                        if broken and not letters.islower():  # names are not parted
+                            continue
+                        cost += SET
+                        done += ("junta",)
+                    cost += best[b][0]
+                    if best[e] is None or cost < best[e][0] - 1e-9:
+                        best[e] = (cost, best[b][1] + (" " if b else "") + text, best[b][2] + done)
+        found = best[n]
+        self.paths[key] = out = (found[1], found[2]) if found else (("-" if broken else " ").join(units), ())
+        return out
+
+    def _odd(self, text: str) -> dict[str, str | None]:
+        """Words that the lexicon does not hold, each with its confusions undone, or None where it stands as it is."""
         known, words = self.known, self.lexicon.words
-        odd = {}
+        odd: dict[str, str | None] = {}
         for w in set(_TOKEN.findall(text)):
-            if w not in words and (r := known.get(w, w)) is not None:
+            if w not in words:
+                r = known.get(w, w)
                 if r is w:
                     r = self.reading(w) if _candidate(w) else known.setdefault(w, None)
-                if r is not None:
+                if r is not None or w.islower() and w.isalpha() and len(w) > 1:
                     odd[w] = r
-        for m in _TOKEN.finditer(text) if odd else ():
+        return odd
+
+    def decode(self, text: str | None) -> tuple[Counter, str | None]:
+        """(what was done, text): kinds are ``linha`` (running line taken out), ``quebra`` (broken word joined), ``sinal`` (misread
+        word read), ``corte`` (torn word joined), ``junta`` (glued words parted).  Null and empty texts stay; lines stay lines.
+        """
+        done: Counter = Counter()
+        if not text:
+            return done, text
+        lines = running(text, self.lexicon.shapes)
+        if lines:
+            done["linha"] = len(lines)
+            out, at = [], 0
+            for b, e in lines:
+                out += [text[at:b], _CUT]
+                at = e
+            text = "".join(out) + text[at:]
+        if _HYPHEN_END.search(text):
+
+            def whole(m: re.Match) -> str:
+                if _CUT in m.group() and not m.group(2)[0].islower():
+                    return m.group()
+                joined, did = self.path((m.group(1), m.group(2)), True)
+                done.update(did if "quebra" in did else (*did, "quebra"))
+                return joined
+
+            text = BROKEN.sub(whole, text)
+        odd = self._odd(text)
+        text = self._words(text, odd, done) if odd else text
+        return done, _REJOIN.sub(" ", text).replace(_CUT, "") if lines else text
+
+    def _words(self, text: str, odd: dict[str, str | None], done: Counter) -> str:
+        """The text with odd words read, alone or with the words beside them."""
+        skip = sorted(m.span() for m in _SKIPPED.finditer(text)) if "$" in text or "@" in text or "http" in text else []
+        at, out, last = 0, [], 0
+        tokens = list(_TOKEN.finditer(text))
+        for k, m in enumerate(tokens):
             w = m.group()
-            if w not in odd:
-                continue
             b, e = m.span()
+            if w not in odd or b < last:
+                continue
             while at < len(skip) and skip[at][1] <= b:
                 at += 1
-            if at < len(skip) and skip[at][0] < e or len(w) <= 2 and _MEASURE.search(text[max(0, b - 12) : b]):
+            if at < len(skip) and skip[at][0] < e or _DOTTED.match(text, e) or b > 1 and text[b - 1] == "." and text[b - 2].isalpha():
                 continue
-            if _DOTTED.match(text, e) or b > 1 and text[b - 1] == "." and text[b - 2].isalpha():
+            if odd[w] is not None:
+                if len(w) <= 2 and _MEASURE.search(text[max(0, b - 12) : b]) or b and text[b - 1] in "-’'" or e < len(text) and text[e] in "-’'" and len(w) < 4:
+                    continue
+                out += [text[last:b], odd[w]]
+                last = e
+                done["sinal"] += 1
                 continue
-            if b and text[b - 1] in "-’'" or e < len(text) and text[e] in "-’'" and len(w) < 4:
+            if b and text[b - 1] in _BESIDE or e < len(text) and text[e] in _BESIDE or w[::-1] in self.lexicon.words:
                 continue
-            out.append(("sinal", b, e, odd[w]))
-        return sorted(out, key=lambda x: x[1:3])
-
-    def respaced(self, text: str) -> str:
-        """Joint segmentation of unknown words and their neighbours: glued words come apart, torn words together.
-
-        A path of lexicon words through the letters of an unknown word, or of it and the word beside it, replaces them if
-        its cost (the sum of the words' surprise and a price for each blank set or dropped) is below what the letters
-        cost as an unknown word.
-        """
-        import math
-
-        words, total = self.lexicon.words, self.lexicon.total
-
-        def surprise(w: str) -> float:
-            return math.log(total / words[w])
-
-        def split(w: str) -> list[str] | None:
-            best: list[tuple[float, list[str]] | None] = [(0.0, [])] + [None] * len(w)
-            for e in range(1, len(w) + 1):
-                for b in range(max(0, e - 24), e):
-                    if best[b] is not None and (p := w[b:e]) in words and (len(p) > 1 or p in "aoeéày"):
-                        cost = best[b][0] + surprise(p) + 3.0
-                        if best[e] is None or cost < best[e][0]:
-                            best[e] = (cost, [*best[b][1], p])
-            found = best[-1]
-            return found[1] if found and found[0] < 3.5 * len(w) and len(found[1]) < 4 else None
-
-        out, tokens = [], re.split(r"(\s+)", text)
-        k = 0
-        while k < len(tokens):
-            t = tokens[k]
-            bare = t.strip(".,;:!?()“”\"")
-            if bare.islower() and bare.isalpha() and bare not in words and len(bare) > 1 and bare[::-1] not in words:
-                if k + 2 < len(tokens) and t == bare and "\n" not in tokens[k + 1]:
-                    after = tokens[k + 2].strip(".,;:!?()“”\"")
-                    if after.islower() and bare + after in words:
-                        out.append(bare + tokens[k + 2])
-                        k += 3
-                        continue
-                if len(bare) > 5 and not self.lexicon.triples.get("#" + bare) and (parts := split(bare)):
-                    t = t.replace(bare, " ".join(parts))
-            out.append(t)
-            k += 1
-        return "".join(out)
+            found = self._beside(text, tokens, k, last)
+            if found:
+                begin, end, read, did = found
+                out += [text[last:begin], read]
+                last = end
+                done.update(did)
+        return "".join(out) + text[last:]
+
+    def _beside(self, text: str, tokens: list[re.Match], k: int, last: int) -> tuple[int, int, str, tuple[str, ...]] | None:
+        """(begin, end, text, what was done) where an unknown word is glued, or torn from the word beside it."""
+        near = lambda a, b: text[a.end() : b.start()] == " " and a.group().islower() and b.group().islower() and (a.group() + b.group()).isalpha()
+        options = []
+        if k + 1 < len(tokens) and near(tokens[k], tokens[k + 1]) and tokens[k].group() + tokens[k + 1].group() in self.lexicon.words:
+            options.append((tokens[k], tokens[k + 1]))
+        if k and tokens[k - 1].start() >= last and near(tokens[k - 1], tokens[k]) and tokens[k - 1].group() + tokens[k].group() in self.lexicon.words:
+            options.append((tokens[k - 1], tokens[k]))
+        if len(tokens[k].group()) > 5 and not self.lexicon.triples.get("#" + tokens[k].group()):
+            options.append((tokens[k],))
+        for group in options:
+            read, did = self.path(tuple(m.group() for m in group))
+            if did and len(read.split()) < 4:
+                return group[0].start(), group[-1].end(), read, did
+        return None
 
     def clean(self, text: str | None) -> str | None:
         """The canonical form on which traces are sought."""
@@ -249,28 +314,11 @@ class Reader:
 
     def repair(self, text: str | None) -> str | None:
         """Continuous readable paragraphs; null stays null and empty stays empty."""
-        text = self.clean(text)
-        if not text:
-            return text
-        for _ in range(2):
-            parts, out, at = self.traces(text), [], 0
-            if not parts:
-                break
-            for kind, b, e, r in parts:
-                if b >= at:
-                    out += [text[at:b], r]
-                    at = e
-                    if kind == "linha" and "\n" in text:
-                        out.append(_CUT)
-            text = _REJOIN.sub(" ", "".join(out) + text[at:]).replace(_CUT, "")
-        return paragraphs(self.respaced(text))
+        done, text = self.decode(self.clean(text))
+        return paragraphs(text) if text else text
 
 
-#: Where a running line stood; a sentence it interrupted goes on.
-_CUT = "\ue020"
-_REJOIN = re.compile(r"(?<![.!?:;\s])[ \t]*\n[ \t]*\ue020[ \t]*\n[ \t]*(?=[^\W\d_])")
-#: A broken word whose second half follows a running line.
-_BROKEN_BY_LINE = re.compile(rf"([^\W\d_]{{1,30}})[-¬‐] ?((?:\n[ \t]*(?:{PAGE_NUMBER}|{RUNNING})?[ \t]*(?=\n)){{1,6}})\n[ \t]*([a-zà-ÿ]{{1,30}})")
+_REJOIN = re.compile(rf"(?<![.!?:;\s])[ \t]*\n[ \t]*{_CUT}[ \t]*\n[ \t]*(?=[^\W\d_])")
 
 
 def _candidate(word: str) -> bool:
@@ -329,53 +377,61 @@ def paragraphs(text: str) -> str:
 def fit_lexicon(df, fields: list[str]) -> Lexicon:
     """Lexicon of all distinct texts, so that copies do not vote: each task counts its own words, one shuffle adds the counts.
 
-    Only words above ``LEXICON_SHARE`` (at most ``LEXICON_MOST``, the most frequent ones) and letter triples go to the
-    driver; both are bounded.  Counts of rare words stay in the triples under ``#word`` only if a confusion of theirs
-    could matter, that is from two occurrences on and under the same bound.
+    What goes to the driver has a bound that no data moves: words of a share of at least ``LEXICON_SHARE``, letter triples of at
+    least ``TRIPLE_SHARE``, compounds and shapes of lines likewise.
     """
     from pyspark.sql import functions as F
 
     from itemforge.llm.arrow import map_rows
+    from itemforge.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
 
     def make():
         def work(texts: list):
-            return count_words(texts).items()
+            yield from count_words(texts).items()
+            yield "", sum(1 for t in texts if t)
 
         return work
 
     each = df.select(F.explode(F.array(*[F.col(f"`{f}`") for f in fields])).alias("t")).where("length(t) > 0").distinct()
-    counted = (
-        map_rows(each, make, "w string, n bigint")
-        .groupBy("w").agg(F.sum("n").alias("n"))
-    )
+    counted = map_rows(each, make, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
 
-    def triple():
+    def kinds():
         def work(words: list, counts: list):
-            from collections import Counter
-
             found: Counter[str] = Counter()
+            total = 0
             for w, n in zip(words, counts):
+                if w[:1] in ("", "\n") or "-" in w:
+                    kind = "d" if not w else "s" if w[0] == "\n" else "c"
+                    if kind == "d" or n >= LEXICON_LEAST:
+                        yield kind, w, n
+                    continue
+                total += n
                 padded = f"^{w}$"
                 for i in range(len(padded) - 2):
                     found[padded[i : i + 3]] += n
+                if n >= LEXICON_LEAST:
+                    yield "w", w, n
             yield from (("t", t, n) for t, n in found.items())
-            yield "a", "", sum(counts)
-            yield from (("w", w, n) for w, n in zip(words, counts) if n >= LEXICON_LEAST)
+            yield "a", "", total
 
         return work
 
-    rows = map_rows(counted, triple, "k string, w string, n bigint").groupBy("k", "w").agg(F.sum("n").alias("n"))
-    ranked = rows.orderBy(F.when(F.col("k") == "w", 1).otherwise(0), F.col("n").desc(), "w").limit(LEXICON_MOST).collect()
-    total = sum(r.n for r in ranked if r.k == "a")
+    rows = map_rows(counted, kinds, "k string, w string, n bigint").groupBy("k", "w").agg(F.sum("n").alias("n")).checkpoint()
+    size = {r.k: r.n for r in rows.where("k in ('a', 'd')").collect()}
+    total = size.get("a") or 0
     least = max(LEXICON_LEAST, LEXICON_SHARE * total)
-    words = {r.w: r.n for r in ranked if r.k == "w" and r.n >= least}
+    held = rows.where(F.when(F.col("k") == "t", F.col("n") >= TRIPLE_SHARE * total).when(F.col("k") == "s", F.col("n") >= max(SHAPE_LEAST, SHAPE_SHARE * size.get("d", 0))).otherwise(F.col("n") >= least)).collect()
+    words = {r.w: r.n for r in held if r.k == "w"}
     kept = without_misreadings(words)
-    triples = {r.w: r.n for r in ranked if r.k == "t"} | {"#" + r.w: r.n for r in ranked if r.k == "w" and r.w not in kept}
-    return Lexicon(kept, triples, total)
+    triples = {r.w: r.n for r in held if r.k == "t"} | {"#" + w: n for w, n in words.items() if w not in kept}
+    return Lexicon(kept, triples, total, {r.w: r.n for r in held if r.k == "c"}, frozenset(r.w[1:] for r in held if r.k == "s"))
 
 
-def scan_traces(df, id_col: str, fields: list[str], lexicon: Lexicon):
-    """(id_linha, campo, n_linhas, n_quebras, n_sinais, texto_reparado) of every field with a trace; no shuffle.
+def scan_traces(df, id_col: str, fields: list[str], lexicon: Lexicon, texts: bool = True):
+    """(id_linha, campo, n_linhas, n_quebras, n_sinais, n_cortes, n_juntas, texto_reparado) of every field that was changed, a
+    field of lines that only became paragraphs included; no shuffle.  Without ``texts`` the text is null, and such fields give no row.
 
     Null, empty and blank fields give no row; repeated input rows repeat; very long texts are read whole.  Other columns are ignored, whatever their names; an empty table gives an empty table.
     """
@@ -383,7 +439,7 @@ def scan_traces(df, id_col: str, fields: list[str], lexicon: Lexicon):
 
     from itemforge.llm.arrow import Shared, map_rows, once
 
-    held = Shared(df.sparkSession, lexicon)
+    held, texts_too = Shared(df.sparkSession, lexicon), texts
 
     def make():
         reader = once(held, Reader)
@@ -391,13 +447,22 @@ def scan_traces(df, id_col: str, fields: list[str], lexicon: Lexicon):
         def work(ids: list, *texts: list):
             for name, column in zip(fields, texts):
                 for i, t in zip(ids, column):
-                    if t and (found := reader.traces(reader.clean(t))):
-                        kinds = [k for k, *_ in found]
-                        yield i, name, kinds.count("linha"), kinds.count("quebra"), kinds.count("sinal"), reader.repair(t)
+                    if not t:
+                        continue
+                    clean = reader.clean(t)
+                    done, text = reader.decode(clean)
+                    text = paragraphs(text) if text and texts_too else text if texts_too else None
+                    if done or texts_too and text != clean:
+                        yield i, name, done["linha"], done["quebra"], done["sinal"], done["corte"], done["junta"], text
 
         return work
 
     return map_rows(
         df.select(*[F.col(f"`{c}`") for c in (id_col, *fields)]), make,
-        "id_linha bigint, campo string, n_linhas int, n_quebras int, n_sinais int, texto_reparado string",
+        "id_linha bigint, campo string, n_linhas int, n_quebras int, n_sinais int, n_cortes int, n_juntas int, texto_reparado string",
     )
+
+
+def with_traces(found):
+    """Rows of ``scan_traces`` with a trace of the page itself: a running line, a broken word or a misread character."""
+    return found.where("n_linhas + n_quebras + n_sinais > 0")

@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from itemforge.llm import canonical, encoding, language, leaks, near, personal, reading, scan, subjects, tokenize_bpe
+from itemforge.llm import canonical, encoding, language, leaks, near, personal, reading, running, scan, subjects, tokenize_bpe
 
 SF = "/root/testdata/sf0.01"
 SAMPLE = "A médica de Porto Alto ampliou a variância; já a informação não é fácil. À noite, o avô tinha 12 m² e 3 °C."
@@ -43,7 +43,36 @@ def reader():
     ],
 )
 def test_traces(reader, text, kinds):
-    assert [k for k, *_ in reader.traces(text)] == kinds
+    assert sorted(reader.decode(text)[0].elements()) == sorted(kinds)
+
+
+def test_running_lines_of_other_forms(reader):
+    for line in ("VESTIBULAR 2019 - PROVA OBJETIVA", "Exame Nacional 2021 pág. 12", "xii", "[iv]", "CADERNO AZUL", "- 7 -", "página 3 de 40", "PROVA DE MATEMÁTICA | 2º DIA", "*AB1234CD5*"):
+        assert running.weight(line) >= running.ENOUGH, line
+        assert reader.decode(f"o menino leu\n{line}\nsobre a taxa")[0] == {"linha": 1}
+    for line in ("Texto II", "1. o menino;", "| a | 9 |", "C", "vento de Alto,", "vi-", "A CARTEIRA", "o menino leu sobre a taxa de juros"):
+        assert running.weight(line) < running.ENOUGH, line
+    shape = running.shape("Colégio Alfa 2021")
+    assert running.running("o menino leu\nColégio Alfa 2022\nsobre a taxa") == [] and running.ENOUGH - running.RECURS > running.weight("Colégio Alfa 2022")
+    open_ = "Unidade XIV 2022"
+    assert running.open_shapes(f"um\n{open_}\ndois") in ({running.shape(open_)}, set()) and shape == "Aa Aa 0"
+
+
+def test_lines_that_recur_are_running_lines(spark):
+    texts = [f"o menino leu sobre o caso {k} da\nMATERIAL DIDÁTICO\ntaxa de juros do mês" for k in range(40)] + ["o menino leu a\nOUTRO TÍTULO\ntaxa do mês"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i bigint, t string")
+    lexicon = scan.fit_lexicon(df, ["t"])
+    assert lexicon.shapes == {"A A"} and running.weight("MATERIAL DIDÁTICO") < running.ENOUGH
+    assert {r.id_linha for r in scan.with_traces(scan.scan_traces(df, "i", ["t"], lexicon)).collect()} == set(range(41))
+
+
+def test_joint_decoding(reader):
+    assert reader.decode("o ceticis-\nrno leu") == ({"quebra": 1, "sinal": 1}, "o ceticismo leu")
+    assert reader.decode("o narra dor leu") == ({"corte": 1}, "o narrador leu")
+    assert reader.decode("leu sobreataxa de juros") == ({"junta": 2}, "leu sobre a taxa de juros")
+    compound = scan.Reader(scan.Lexicon(reader.lexicon.words | {"guarda": 300, "chuva": 300}, reader.lexicon.triples, reader.lexicon.total, {"guarda-chuva": 90}))
+    assert compound.decode("o guarda-\nchuva leu") == ({"quebra": 1}, "o guarda-chuva leu") and compound.decode("o guarda-chuva leu")[0] == {}
+    assert reader.decode("o menino so-\n- 3 -\nbre a taxa") == ({"linha": 1, "quebra": 1}, "o menino sobre a taxa")
 
 
 def test_repair(reader):
