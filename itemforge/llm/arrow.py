@@ -106,3 +106,25 @@ class Bitmap:
                     yield batch.take(pa.array(fresh))
 
         return df.mapInArrow(run, df.schema)
+
+
+def hashed_sample(df: DataFrame, key: str, rows: int, group: str | None = None) -> list:
+    """About ``rows`` rows (of each group) by hash of the key, at most that many: the rows under a threshold that counts set.
+
+    What reaches the driver does not grow with partitions or data.
+    """
+    h = F.pmod(F.xxhash64(key), F.lit(1 << 30))
+    counts = {r.g: r.n for r in df.groupBy((F.col(group) if group else F.lit(0)).alias("g")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    most = F.lit(0)
+    for g, n in counts.items():
+        here = F.lit(min(1 << 30, int((1 << 30) * (1.2 * rows + 60) / max(n, 1))))
+        most = F.when(F.col(group).eqNullSafe(F.lit(g)), here).otherwise(most) if group else here
+    found = sorted(df.withColumn("_h", h).where(F.col("_h") < most).collect(), key=lambda r: (r["_h"], str(r[key])))
+    taken: dict = {}
+    out = []
+    for r in found:
+        g = r[group] if group else 0
+        taken[g] = taken.get(g, 0) + 1
+        if taken[g] <= rows:
+            out.append(r)
+    return out

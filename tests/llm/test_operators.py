@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from itemforge.llm import canonical, encoding, language, leaks, near, personal, reading, running, scan, subjects, tokenize_bpe
+from itemforge.llm import canonical, encoding, examples, language, leaks, near, personal, reading, running, scan, subjects, tokenize_bpe
 
 SF = "/root/testdata/sf0.01"
 SAMPLE = "A médica de Porto Alto ampliou a variância; já a informação não é fácil. À noite, o avô tinha 12 m² e 3 °C."
@@ -346,6 +346,7 @@ def finder(spark):
         ("Veja o perfil @turma_f no mural", "Veja o perfil @turma_f no mural"),
         ("A rua principal de Lagoa ficou fechada das 13h às 18h30", "A rua principal de Lagoa ficou fechada das 13h às 18h30"),
         ("Item 353177, lote 7842-2187, nota 721,9", "Item 353177, lote 7842-2187, nota 721,9"),
+        ("Conversei com Kwame Nkrumah ontem.", "Conversei com [NAME] ontem."), ("Tel 0800 123 4567", "Tel [PHONE]"), ("Passaporte FN123456", "Passaporte [ID]"), ("RG MG-12.345.678", "RG [ID]"), ("My SSN is 123456789", "My SSN is [ID]"),
         ("", ""), (None, None),
     ],
 )
@@ -353,6 +354,32 @@ def test_personal_data(finder, text, masked):
     assert finder.masked(text) == masked
 
 
+def test_held_out_forms_and_names():
+    """Trained without some forms of numbers and without any known name, the model finds nine in ten of what it never saw."""
+    held_ids = frozenset({"999-99-9999", "AA-99.999.999", "99999999A"})
+    held_phones = frozenset({"+99 99 9999-9999", "999.999.9999", "(99) 99999-9999"})
+    names = personal.Names({}, {})
+    made = examples.sentences(2400, [], [], ids=examples.ID_FORMS - held_ids, phones=examples.PHONE_FORMS - held_phones)
+    find = personal.Finder((names, personal.fit_weights(made, names)))
+    found, wanted, got = 0, 0, 0
+    for text, spans in examples.sentences(1500, [], [], seed=77, ids=held_ids, phones=held_phones):
+        out = set(find.spans(text))
+        found, wanted, got = found + len(out & spans), wanted + len(spans), got + len(out)
+    assert found >= 0.9 * wanted and found >= 0.9 * got, (found, wanted, got)
+
+
+def test_forward_and_backward_sums_agree_with_all_sets():
+    import itertools
+    import math
+
+    spans, scores = [(0, 3, "a"), (2, 5, "b"), (5, 8, "c"), (0, 8, "d"), (3, 5, "e")], [0.3, -0.2, 1.0, 0.7, -1.0]
+    sets = [s for n in range(6) for s in itertools.combinations(range(5), n) if all(spans[i][1] <= spans[j][0] or spans[j][1] <= spans[i][0] for i, j in itertools.combinations(s, 2))]
+    total = sum(math.exp(sum(scores[i] for i in s)) for s in sets)
+    z, p = personal.marginals(*personal.lattice(spans), scores)
+    assert abs(z - math.log(total)) < 1e-9
+    assert all(abs(p[i] - sum(math.exp(sum(scores[j] for j in s)) for s in sets if i in s) / total) < 1e-9 for i in range(5))
+
+
 def test_decode_is_the_best_choice():
     spans = [(0, 5, "a"), (3, 8, "b"), (5, 9, "c"), (8, 12, "d")]
     assert personal.decode(spans, [2.0, 3.0, 2.0, 0.5]) == [0, 2] and personal.decode(spans, [-1.0] * 4) == [] and personal.decode([], []) == []
