@@ -60,8 +60,7 @@ def _topics(spark: SparkSession, sf: str) -> tuple[DataFrame, subjects.TopicMode
 def p5_topics(spark: SparkSession, sf: str) -> DataFrame:
     """Top terms of every topic, the subject it stands for, whether the inspection keeps it, and the records it is found in."""
     df, model = _topics(spark, sf)
-    kept, terms = model.inspected(), model.top_terms()
-    rows = [(j, subjects.SUBJECTS[j] if j < len(subjects.SUBJECTS) else None, " ".join(t), j in kept) for j, t in terms.items()]
+    rows = [(j, None if model.map[j] is None else subjects.SUBJECTS[model.map[j]], " ".join(t), model.map[j] is not None) for j, t in model.top_terms().items()]
     found = subjects.subject_areas(df, "ID_LINHA", "DESC_ENUNCIADO", model).groupBy("assunto").agg(F.count(F.lit(1)).alias("n_registros"), F.round(F.avg("proporcao"), 4).alias("proporcao"))
     return spark.createDataFrame(rows, "topico int, assunto string, termos string, aceito boolean").join(found, "assunto", "left").select("topico", "assunto", "termos", "aceito", "n_registros", "proporcao")
 

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itemforge.llm.arrow import Shared, map_rows, once
+from itemforge.llm.arrow import Shared, hashed_sample, map_rows, once
 from itemforge.llm.canonical import Canonizer
 from itemforge.llm.scan import join_broken, strip_running
 
@@ -309,16 +309,9 @@ class Classifier:
 
 def fit_profile(df: DataFrame, id_col: str, label_col: str, text_col: str, sample_rows: int = SAMPLE_ROWS) -> dict[str, list[list[str]]]:
     """Sentences by language from a bounded sample: ``sample_rows`` rows of each label, by hash of the key."""
-    rows = []
-    base = df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{label_col}`").alias("g"), F.col(f"`{text_col}`").alias("t"))
-    parts = [base.where((F.col("g") == g) & (F.length("t") > 0)).orderBy(F.xxhash64("i"), "i").limit(sample_rows) for g in LANGUAGES]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
+    base = df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{label_col}`").alias("g"), F.col(f"`{text_col}`").alias("t")).where(F.col("g").isin(*LANGUAGES) & (F.length("t") > 0))
     form = Canonizer()
-    for r in union.collect():
-        rows.append((r.g, join_broken(strip_running(form.canonical(form.garbled.restore(r.t))))))
-    return purged(rows)
+    return purged([(r.g, join_broken(strip_running(form.canonical(form.garbled.restore(r.t))))) for r in hashed_sample(base, "i", sample_rows, "g")])
 
 
 def passages(df: DataFrame, id_col: str, fields: list[str], words: dict[str, list[list[str]]]) -> DataFrame:

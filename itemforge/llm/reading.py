@@ -163,14 +163,17 @@ def labelled_sample(df: DataFrame, id_col: str, text_col: str, labels: DataFrame
     rare ones are learned too; eight times ``most`` labelled keys are looked at for that.
     """
     marks = labels.select(F.col(f"`{label_id}`").alias("k"), F.col(f"`{label_col}`").alias("g")).where("k is not null and g is not null")
-    chosen = marks.groupBy("k").agg(F.array_sort(F.collect_set("g")).alias("g")).orderBy(F.xxhash64("k"), "k").limit((8 if strata else 2) * most)
+    keys = marks.groupBy("k").agg(F.array_sort(F.collect_set("g")).alias("g"))
+    asked = (8 if strata else 2) * most
+    under = min(1 << 30, int((1 << 30) * 1.1 * asked / max(keys.count(), 1)))  # so that what is looked at does not grow with the labels
+    chosen = keys.where(F.pmod(F.xxhash64("k"), F.lit(1 << 30)) < under)
     kind = F.col(f"`{strata}`") if strata else F.lit(None).cast("string")
     text = df.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").alias("t"), kind.alias("s")).where(F.length("t") > 0)
-    found = text.join(F.broadcast(chosen), "k")
+    found = text.join(F.broadcast(chosen), "k").withColumn("h", F.pmod(F.xxhash64("k"), F.lit(1 << 30)))
     if strata:
-        turn = F.row_number().over(Window.partitionBy("s").orderBy(F.xxhash64("k"), "k"))
+        turn = F.row_number().over(Window.partitionBy("s").orderBy("h", "k"))
         found = found.withColumn("r", turn).where(F.col("r") <= most // 3)
-    rows = found.orderBy(F.xxhash64("k"), "k").limit(most).select("t", "g").collect()
+    rows = sorted(found.select("h", "k", "t", "g").collect(), key=lambda r: (r.h, r.k))[:most]
     return [(r.t, list(r.g)) for r in rows]
 
 

@@ -1,9 +1,11 @@
 """Problem 5: subject areas of each document.
 
-Method: latent Dirichlet topics fitted by distributed variational steps.  Each labelled document may draw its words only
-from the topics of its subjects and from shared topics, so that a topic belongs to a subject from the start; the map is
-then inspected through the top terms, and a subject topic whose top terms are not its own loses its say.  A document
-gets the subjects whose topics hold at least one word's worth of at least two of its sentences.
+Method: latent Dirichlet topics fitted by distributed variational steps.  Each labelled document of the sample may draw its
+words only from the topics of its subjects and from shared topics, which keeps topics apart.  Topics are then mapped to
+subjects through their top terms: a topic stands for the subject whose labelled documents use most of its top terms, and
+for none if no subject has the most of them.  A new document's topic proportions are inferred over all topics; they say
+what each of its words was drawn for, and the document gets the subjects that hold a share of its proportions and at least
+one word's worth of at least two of its sentences.
 
 The fit takes at most ``FIT_DOCUMENTS`` labelled documents, chosen by hash; each step is a Spark job over the sample
 whose partial counts are added by one small shuffle.  Every document is assigned.  Null and empty texts get no subject,
@@ -32,9 +34,14 @@ SHARED = 4
 FIT_DOCUMENTS = 2500
 STEPS = 8
 ALPHA, ALPHA_SHARED, BETA, LEAST_DOCUMENTS = 0.1, 8.0, 0.02, 4
-#: A word speaks for a subject from this share of its expected counts on.
-WORD_SHARE = 0.5
-#: A sentence treats a subject whose topic explains so many of its words; a document needs so many such sentences.
+#: Top terms that the inspection looks at, and the share of them that must speak for one subject.
+TERMS, TERM_SHARE = 12, 0.5
+#: A word counts as drawn for a topic from this probability on, given the document's proportions, and for as much as
+#: the topic has of it without any document, if that is at least the second value.
+DRAWN, OWN = 0.6, 0.5
+#: Rounds of the inference of a document's topic proportions, and what a subject must hold of those of all subjects.
+ROUNDS, LEAST_SHARE = 5, 0.02
+#: A sentence treats a subject whose topics explain so many of its words; a document needs so many such sentences.
 SENTENCE_MASS, DOCUMENT_SENTENCES = 0.9, 2
 
 
@@ -58,7 +65,7 @@ def fit_topics(spark: SparkSession, sample: list[tuple[str, list[str]]], steps:
     """Topics of a bounded labelled sample, by ``steps`` distributed variational steps."""
     k = len(SUBJECTS) + SHARED
     if not sample:
-        return TopicModel({}, np.ones(k) / k)
+        return TopicModel({}, np.ones(k) / k, {})
     least = min(LEAST_DOCUMENTS, 1 + len(sample) // 100)
     rows = [(t, [SUBJECTS.index(g) for g in gs if g in SUBJECTS]) for t, gs in sample]
     parts = max(1, min(spark.sparkContext.defaultParallelism, len(rows) // 100))
@@ -79,10 +86,12 @@ def fit_topics(spark: SparkSession, sample: list[tuple[str, list[str]]], steps:
     rng = np.random.default_rng(7)
     words = sorted(spread)
     counts = {w: rng.uniform(0.5, 1.5, k) for w in words}
+    labelled = {w: np.zeros(len(SUBJECTS)) for w in words}
     first = bags.select(F.explode("g").alias("g"), "w").select("g", F.explode("w").alias("w")).groupBy("g", "w").agg(F.count(F.lit(1)).alias("n")).collect()
     for r in first:
         if r.w in counts:
             counts[r.w][r.g] += r.n
+            labelled[r.w][r.g] += r.n
     for w in words:
         counts[w][len(SUBJECTS) :] += rng.uniform(0.5, 1.0, SHARED) * spread[w] / SHARED
     for _ in range(steps):
@@ -113,25 +122,25 @@ def fit_topics(spark: SparkSession, sample: list[tuple[str, list[str]]], steps:
             counts[r[0]] = np.array(r[1:], float)
         held.unpersist()
     bags.unpersist()
-    return TopicModel(counts, np.sum([counts[w] for w in words], axis=0))
+    return TopicModel(counts, np.sum([counts[w] for w in words], axis=0), labelled)
 
 
 class TopicModel:
-    """Expected counts of each word by topic, and what they say about a sentence."""
-
-    def __init__(self, counts: dict[str, np.ndarray], weight: np.ndarray):
-        self.counts, self.weight = counts, weight
-        size = weight + BETA * max(len(counts), 1)
-        self.phi = {w: (c + BETA) / size for w, c in counts.items()}
-        self.say: dict[str, tuple[tuple[int, float], ...]] = {}
-        inspected = self.inspected()
-        for w, p in self.phi.items():
-            r = p / p.sum()
-            kept = tuple((j, float(r[j])) for j in range(len(SUBJECTS)) if r[j] >= WORD_SHARE and j in inspected)
-            if kept:
-                self.say[w] = kept
-
-    def top_terms(self, most: int = 12) -> dict[int, list[str]]:
+    """Expected counts of each word by topic, the map of topics to subjects, and the inference of proportions."""
+
+    def __init__(self, counts: dict[str, np.ndarray], weight: np.ndarray, labelled: dict[str, np.ndarray]):
+        self.counts, self.weight, self.labelled = counts, weight, labelled
+        words = sorted(counts)
+        self.row = {w: i for i, w in enumerate(words)}
+        self.phi = (np.array([counts[w] for w in words]).reshape(len(words), len(weight)) + BETA) / (weight + BETA * max(len(words), 1))
+        self.map = self.mapped()
+        self.prior = np.array([ALPHA if g is not None else ALPHA_SHARED for g in self.map])
+        self.known = [j for j, g in enumerate(self.map) if g is not None]
+        own = (self.phi / self.phi.sum(1, keepdims=True))[:, self.known]
+        self.own = np.where(own >= OWN, own, 0.0)
+        self.of = np.array([self.map[j] for j in self.known], np.int64)
+
+    def top_terms(self, most: int = TERMS) -> dict[int, list[str]]:
         """Terms of each topic by count times share of the term's own counts."""
         out = {}
         for j in range(len(self.weight)):
@@ -139,40 +148,44 @@ class TopicModel:
             out[j] = sorted(score, key=lambda w: (-score[w], w))[:most]
         return out
 
-    def inspected(self) -> set[int]:
-        """Subject topics most of whose top terms belong to them more than to any other topic."""
-        kept = set()
-        for j, terms in self.top_terms().items():
-            if j < len(SUBJECTS) and terms and sum(int(self.counts[w].argmax()) == j for w in terms) * 2 > len(terms):
-                kept.add(j)
-        return kept
+    def mapped(self) -> list[int | None]:
+        """Subject of each topic: the one in whose labelled documents most of its top terms are at home, relative to its size."""
+        size = np.sum(list(self.labelled.values()), axis=0) + 1 if self.labelled else np.ones(len(SUBJECTS))
+        out: list[int | None] = []
+        for terms in self.top_terms().values():
+            home = Counter(int((self.labelled[w] / size).argmax()) for w in terms if self.labelled[w].any())
+            sure = Counter(int((self.labelled[w] / size).argmax()) for w in terms if (self.labelled[w] / size).max() > TERM_SHARE * (self.labelled[w] / size).sum())
+            best = home.most_common(1)
+            out.append(best[0][0] if best and sure[best[0][0]] > TERM_SHARE * len(terms) else None)
+        return out
 
     def subjects(self, sentences: list[list[str]]) -> list[tuple[str, int, float]]:
-        """(subject, sentences that treat it, share of the subject mass), most treated first."""
-        say, treated, mass = self.say, Counter(), Counter()
+        """(subject, sentences that treat it, share of the subjects' proportions), most treated first."""
+        row = self.row
+        ids, ends = [], []
         for s in sentences:
-            m: dict[int, float] = {}
-            for w in s:
-                for j, r in say.get(w, ()):
-                    m[j] = m.get(j, 0.0) + r
-            if not m:
-                continue
-            if len(m) > 1:
-                total = sum(m.values())
-                again: dict[int, float] = {}
-                for w in s:
-                    if x := say.get(w):
-                        z = sum(r * m[j] for j, r in x)
-                        had = sum(r for _, r in x)
-                        for j, r in x:
-                            again[j] = again.get(j, 0.0) + had * r * m[j] / z
-                m = again if total else m
-            for j, x in m.items():
-                mass[j] += x
-                if x >= SENTENCE_MASS:
-                    treated[j] += 1
-        whole = sum(mass.values()) or 1.0
-        return [(SUBJECTS[j], n, mass[j] / whole) for j, n in sorted(treated.items(), key=lambda p: (-p[1], p[0])) if n >= DOCUMENT_SENTENCES]
+            ids += [row[w] for w in s if w in row]
+            ends.append(len(ids))
+        if not ids or not self.known:
+            return []
+        kinds, count = np.unique(np.array(ids), return_inverse=True)
+        table = self.phi[kinds]
+        n = np.bincount(count)[:, None]
+        gamma = self.prior + 1.0
+        for _ in range(ROUNDS):
+            r = table * gamma
+            r /= r.sum(1, keepdims=True)
+            gamma = self.prior + (n * r).sum(0)
+        mine = np.where(r[:, self.known] >= DRAWN, self.own[kinds], 0.0)
+        by_word = np.zeros((len(kinds), len(SUBJECTS)))
+        np.add.at(by_word.T, self.of, mine.T)
+        upto = np.vstack([np.zeros(len(SUBJECTS)), by_word[count].cumsum(0)])
+        edges = np.array([0, *ends])
+        treated = (upto[edges[1:]] - upto[edges[:-1]] >= SENTENCE_MASS).sum(0)
+        share = np.bincount(self.of, gamma[self.known] - self.prior[self.known], len(SUBJECTS))
+        share /= share.sum() + 1e-12
+        found = np.flatnonzero((treated >= DOCUMENT_SENTENCES) & (share >= LEAST_SHARE))
+        return [(SUBJECTS[j], int(treated[j]), float(share[j])) for j in sorted(found.tolist(), key=lambda j: (-treated[j], j))]
 
 
 def subject_areas(df: DataFrame, id_col: str, text_col: str, model: TopicModel) -> DataFrame:

@@ -176,7 +176,7 @@ def test_subjects_of_held_out_documents(spark):
         got = {s for s, _, _ in model.subjects(cut.words(t))}
         hit, said, true = hit + len(got & set(g)), said + len(got), true + len(g)
     assert hit / said > 0.93 and hit / true > 0.93
-    assert len(model.inspected()) == len(subjects.SUBJECTS)
+    assert [g for g in model.map if g is not None] == list(range(len(subjects.SUBJECTS))) and model.map[len(subjects.SUBJECTS) :] == [None] * subjects.SHARED
 
 
 # 7 --------------------------------------------------------------------------------------------------------------------
