@@ -1,9 +1,10 @@
 """Problem 3: visually identical text made of different characters.
 
-Method: a quick-check class (one compiled character set: code points whose compatibility quick check is not "yes",
-marks, blanks that are not U+0020, invisible characters and look-alike letters) isolates unstable segments.  Only a
-segment, widened to the word around it, is normalised; the canonical piece is spliced into the unchanged text.  What a
-wrong encoding left behind is recognised first and is no unstable segment.
+Method: a quick-check class over all of Unicode (one compiled character set, built from the normalisation properties of every
+code point: those whose quick check is "no", those whose check is "maybe" because they combine with what is before them,
+blanks that are not U+0020 and invisible characters; and look-alike letters, which no property tells) isolates unstable
+segments.  Only a segment, widened to the word around it, is normalised; the canonical piece is spliced into the unchanged
+text, if it differs.  What a wrong encoding left behind is recognised first and is no unstable segment.
 
 Superscripts, ordinal signs, quotation marks, dashes, Greek symbols in formulas and whole words in another script are
 stable.  Null stays null, empty stays empty.
@@ -12,6 +13,7 @@ stable.  Null stays null, empty stays empty.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -23,8 +25,8 @@ from itemforge.llm.encoding import Repairer
 
 #: Letters of other scripts drawn like Latin ones.
 LOOKALIKES = dict(zip(
-    "аеорсухіјѕһԁԛԝѵӏАВЕКМНОРСТУХІЈЅԌ" "αονρϲιυκχΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹ" "ɑɡ",
-    "aeopcyxijshdqwvlABEKMHOPCTYXIJSG" "aovpciukxABEZHIKMNOPTYXC" "ag",
+    "аеорсухіјѕһԁԛԝѵӏАВЕКМНОРСТУХІЈЅԌ" "αονρϲιυκχΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹ" "ɑɡ" "օսհոՕՍ" "ᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᏃ",
+    "aeopcyxijshdqwvlABEKMHOPCTYXIJSG" "aovpciukxABEZHIKMNOPTYXC" "ag" "ouhnOU" "ABCDEHJKLMPRSTVWZ",
 ))
 INVISIBLE = "\u00ad͏\u061c\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff︀-️"
 BLANKS = "\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000"
@@ -36,26 +38,38 @@ GREEK_FORMULA = frozenset("ανρικυχ")
 _OPERATORS = frozenset("=/+−-·×^_<>≤≥")
 
 
-def _compatibility_class() -> str:
-    """Code points of the compatibility blocks whose quick check is not "yes", as ranges of a character class."""
-    out, begin = [], None
-    spans = [(0x1C4, 0x1CD), (0x2100, 0x2190), (0xFB00, 0xFB07), (0xFF01, 0xFFEF), (0x1D400, 0x1D800)]
-    for low, high in spans:
-        for cp in range(low, high + 1):
-            c = chr(cp)
-            bad = cp < high and c not in STABLE and unicodedata.category(c)[0] != "C" and not unicodedata.is_normalized("NFKC", c)
-            if bad and begin is None:
-                begin = cp
-            elif not bad and begin is not None:
-                out.append(re.escape(chr(begin)) + "-" + re.escape(chr(cp - 1)))
-                begin = None
+def _ranges(points: list[int]) -> str:
+    """Ascending code points as ranges of a character class."""
+    out, k = [], 0
+    while k < len(points):
+        j = k
+        while j + 1 < len(points) and points[j + 1] == points[j] + 1:
+            j += 1
+        out.append(re.escape(chr(points[k])) + ("-" + re.escape(chr(points[j])) if j > k else ""))
+        k = j + 1
     return "".join(out)
 
 
-_MARKS = "̀-ͯ"
-_FIRM = _compatibility_class() + INVISIBLE + BLANKS + _MARKS
+def _quick_check() -> tuple[str, str]:
+    """(code points whose quick check is "no", combining ones), as character classes, over all of Unicode.
+
+    Superscripts, subscripts and fractions keep their meaning only as they are and count as stable; so do signs in ``STABLE``.
+    """
+    no, combining = [], []
+    for cp in range(0x80, sys.maxunicode + 1):
+        c = chr(cp)
+        if unicodedata.combining(c):
+            combining.append(cp)
+        elif not unicodedata.is_normalized("NFKC", c) and c not in STABLE and not 0xD800 <= cp < 0xE000 and not unicodedata.decomposition(c).startswith(("<super>", "<sub>", "<fraction>")):
+            no.append(cp)
+    return _ranges(no), _ranges(combining)
+
+
+_NO, _MARKS = _quick_check()
+_FIRM = _NO + INVISIBLE + BLANKS + _MARKS
 _UNSTABLE = re.compile(f"[{_FIRM}{''.join(LOOKALIKES)}]")
 _ANY_SUSPECT = re.compile("[^\\x00-\\x7fáàâãçéêíñóôõúüÁÀÂÃÇÉÊÍÓÔÕÚºª°²³–—“”•€£©]")
+_MARK = re.compile(f"[{_MARKS}]")
 #: The context of a segment: the unbroken run of letters, marks and invisible characters around it.
 _RUN = re.compile(f"[^\\W\\d_{INVISIBLE}](?:[^\\W\\d_]|[{_MARKS}{INVISIBLE}])*")
 _SKIP = re.compile(f"[{INVISIBLE}]+")
@@ -92,7 +106,7 @@ class Canonizer:
                     continue
                 out.append((i, i + 1, LOOKALIKES[c]))
                 done = i + 1
-            elif "̀" <= c <= "ͯ":
+            elif _MARK.match(c):
                 b = i - 1 if i else i
                 if out and out[-1][1] > b:
                     b, head = out[-1][0], out[-1][2]
@@ -100,9 +114,11 @@ class Canonizer:
                 else:
                     head = text[b:i]
                 e = i + 1
-                while e < len(text) and ("̀" <= text[e] <= "ͯ" or _SKIP.match(text[e])):
+                while e < len(text) and (_MARK.match(text[e]) or _SKIP.match(text[e])):
                     e += 1
-                out.append((b, e, unicodedata.normalize("NFC", head + _SKIP.sub("", text[i:e]))))
+                whole = unicodedata.normalize("NFC", head + _SKIP.sub("", text[i:e]))
+                if whole != text[b:e]:  # a mark that nothing composes with stays
+                    out.append((b, e, whole))
                 done = e
             elif _SKIP.match(c):
                 out.append((i, i + 1, ""))
@@ -120,8 +136,8 @@ class Canonizer:
         """A look-alike letter counts beside Latin letters, or alone as a one-letter word that no formula uses."""
         word = _SKIP.sub("", text[b:e])
         latin = any(c.isascii() or "À" <= c <= "ɏ" or "Ａ" <= c <= "ｚ" for c in word if c.isalpha() and c not in LOOKALIKES)
-        if latin:
-            return True
+        if latin or not "Ͱ" <= text[i] <= "ԯ":
+            return latin
         alike = all(c in LOOKALIKES for c in word if c.isalpha())
         if not alike:
             return False

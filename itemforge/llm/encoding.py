@@ -1,9 +1,10 @@
 """Problem 6: text decoded with the wrong character encoding.
 
-Method: the garbled sequence of every repertoire character is computed for all encoding pairs (and for two rounds of
-the common one), all sequences go into one multi-pattern automaton, and only matched spans are replaced; correct text
-beside them stays as it is.  Sequences of one character are ambiguous, so they count only where the correct reading
-could not stand: inside a lower-case word, or glued to a unit.
+Method: the garbled sequence of every repertoire character is computed for all ordered pairs of a list of encodings (and for
+two rounds of the common ones), all sequences go into one multi-pattern automaton, and only matched spans are replaced;
+correct text beside them stays as it is.  Sequences of one character are ambiguous, so they count only where the correct
+reading could not stand: inside a lower-case word, or glued to a unit; letters that names of other languages have count
+inside a word only, and only if two places of the text say so.
 """
 
 from __future__ import annotations
@@ -20,14 +21,22 @@ from itemforge.llm.arrow import map_rows
 #: Characters that texts in the three languages are expected to hold beyond ASCII.
 LETTERS = "áàâãäçéèêëíìîïñóòôõöúùûüÁÀÂÃÄÇÉÈÊËÍÌÎÏÑÓÒÔÕÖÚÙÛÜ"
 SIGNS = "ºª°²³§¿¡«»–—‘’“”…•€£·µ±×÷αβγδθλπρσφωμΔΣΩмирбвгдежзклнопстуфхцчшщыьэюя"
-#: Fixed values: (encoding written, encoding read).
-WIDE_PAIRS = (("utf-8", "cp1252"), ("utf-8", "latin-1"), ("utf-8", "mac_roman"), ("utf-8", "cp850"), ("utf-8", "cp437"), ("utf-8", "cp1251"))
-BYTE_PAIRS = (("cp1252", "mac_roman"), ("cp1252", "cp850"), ("cp1252", "cp1251"))
+#: Encodings in which texts of the three languages are written, and those as which they are read by mistake, the usual
+#: ones first.  UTF-8 read as a code page gives several characters for one, one code page read as another one for one.
+WRITTEN = ("cp1252", "mac_roman", "cp850")
+READ = ("cp1252", "latin-1", "mac_roman", "cp850", "cp437", "cp1251", "cp1250", "iso8859_2", "iso8859_7", "iso8859_15", "cp1253", "cp1254", "cp1257")
+WIDE_PAIRS = tuple(("utf-8", r) for r in READ)
+#: Pairs whose one-character images are no letters of European names.
+PLAIN_PAIRS = (("cp1252", "mac_roman"), ("cp1252", "cp850"), ("cp1252", "cp1251"))
+BYTE_PAIRS = PLAIN_PAIRS + tuple((w, r) for w in WRITTEN for r in READ if w != r and (w, r) not in PLAIN_PAIRS and not (w == "cp1252" and r in ("latin-1", "iso8859_15", "cp1254")))
 LOST = "�"
 #: Images of one character that scanned and typeset texts hold for other reasons: blanks and hyphens.
 NEVER_ALONE = frozenset("\xa0\xad¬")
 #: Latin look-alikes among the letters of the Cyrillic code page: no evidence of garbling alone.
 LOOKALIKE = frozenset("аеорсухіѕјАВЕКМНОРСТХІЅЈУ")
+GREEK_ALIKE = frozenset("αονρϲιυκχΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹ")
+#: Signs that stand inside words for good reason.
+SIGNS_INSIDE = frozenset("’‘“”–—…•·")
 LOWER = frozenset("abcdefghijklmnopqrstuvwxyzáàâãäçéèêëíìîïñóòôõöúùûü")
 USUAL_LOWER = frozenset("abcdefghijklmnopqrstuvwxyzáàâãçéêíñóôõúü")
 #: Readings that words of the three languages use; the rest of LETTERS is only garbled, never restored by one character.
@@ -66,7 +75,9 @@ def garbled_table() -> dict[str, list[tuple[str, str]]]:
                 add(_decode(once.encode("utf-8"), "cp1252"), f"{w}>{r}>2", c)
         if c in READINGS:
             for w, r in BYTE_PAIRS:
-                if (seq := _decode(c.encode(w), r)) not in NEVER_ALONE:
+                raw = c.encode(w, "ignore")
+                seq = _decode(raw, r) if raw else None
+                if seq and seq not in NEVER_ALONE and ((w, r) in PLAIN_PAIRS or seq not in LETTERS + "ºª°²³µ"):
                     add(seq, f"{w}>{r}", c)
     return table
 
@@ -82,7 +93,11 @@ class Repairer:
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
-        for seq, readings in garbled_table().items():
+        table = garbled_table()
+        plain = {f"{w}>{r}" for w, r in PLAIN_PAIRS}
+        #: Single characters that only other pairs give.
+        self.strict = frozenset(seq for seq, readings in table.items() if len(seq) == 1 and not any(p in plain for p, _ in readings))
+        for seq, readings in table.items():
             self.automaton.add_word(seq, (len(seq), seq, readings))
         self.automaton.make_automaton()
 
@@ -107,17 +122,18 @@ class Repairer:
                 single.append((b, e, seq, readings))
         taken = {i for b, e, _ in wide for i in range(b, e)}
         votes: Counter[str] = Counter()  # by pair, sure places only
-        held = []
+        held, sure = [], 0.0
         for b, e, seq, readings in single:
             if b in taken:
                 continue
-            strength = self._single_holds(text, b, seq)
+            strength = self._strict_holds(text, b, seq) if seq in self.strict else self._single_holds(text, b, seq)
             if strength:
                 held.append((b, e, readings, strength))
                 if strength == 2:
+                    sure += 0.5 if seq in self.strict else 1.0
                     votes.update({p: 1.0 if c in FREQUENT else 0.9 for p, c in readings})
         out: list[tuple[int, int, str | None]] = list(wide)
-        if votes:
+        if votes and sure >= 1:
             order = {f"{w}>{r}": -i for i, (w, r) in enumerate(BYTE_PAIRS)}
             best = max(votes, key=lambda p: (votes[p], order.get(p, -99)))
             for b, e, readings, _ in held:
@@ -127,6 +143,13 @@ class Repairer:
         out += [(m, m + 1, None) for m in (i for i, c in enumerate(text) if c == LOST)] if LOST in text else []
         return sorted(out)
 
+    @staticmethod
+    def _strict_holds(text: str, i: int, c: str) -> int:
+        """As ``_single_holds``, for characters that other causes put into texts: only a place inside a word is a sign."""
+        if c in SIGNS_INSIDE or c in GREEK_ALIKE or c in LOOKALIKE or not (c.isalpha() or c in "‹›‡†‚„ˆ˜⌡⌠" or "─" <= c <= "▟" or "\x80" <= c <= "\x9f"):
+            return 1
+        return 2 if 0 < i < len(text) - 1 and text[i - 1] in LOWER and text[i + 1] in LOWER else 1
+
     @staticmethod
     def _wide_holds(text: str, b: int, e: int, c: str) -> bool:
         """Correct capitals followed by a sign ("AMANHÃ©") are no garbling; neither are whole Cyrillic words."""
@@ -134,8 +157,8 @@ class Repairer:
         if before.isupper() and b > 1 and text[b - 2].isupper() and c.islower() and (e == len(text) or not text[e].isalpha() or text[e].isupper()):
             return False
         seq = text[b:e]
-        if all("Ѐ" <= x <= "ӿ" for x in seq):
-            return False
+        if all("Ѐ" <= x <= "ӿ" or "─" <= x <= "▟" for x in seq) and "Ѐ" <= seq[0] <= "ӿ":
+            return before in LOWER or e < len(text) and text[e] in LOWER
         if seq[0] in "ÃÂ" and seq[1] in "€£¥" and (e == len(text) or text[e] in " \u00a00123456789"):
             return before.islower()
         return True

@@ -101,7 +101,25 @@ class LevelModel:
 
 
 def fit_levels(documents: list[tuple[list[list[str]], str]]) -> LevelModel:
-    """Fit sentence and document models on labelled documents."""
+    """Fit sentence and document models on labelled documents.
+
+    Documents are calibrated on what a sentence model fitted on the other half of them says, so that confidence is not that of
+    texts already seen.
+    """
+    model = _fit_sentences(documents)
+    k = len(LEVELS)
+    held, target = [], []
+    for mine, other in ((documents[0::2], documents[1::2]), (documents[1::2], documents[0::2])) if len(documents) > 40 else ((documents, documents),):
+        judge = model if other is documents else _fit_sentences(other)
+        held += [np.append(np.log(judge.document(ss) + 1e-3), 1.0) for ss, _ in mine]
+        target += [LEVELS.index(g) for _, g in mine]
+    x, y = np.array(held or [[0.0] * k + [1.0]]), np.eye(k)[target or [0]]
+    model.calibration = _adam(lambda c: x.T @ (_softmax(x @ c) - y) / len(x) + 1e-3 * c, (k + 1, k), 300, 0.1)
+    return model
+
+
+def _fit_sentences(documents: list[tuple[list[list[str]], str]]) -> LevelModel:
+    """The regularised model of sentences, its documents not calibrated yet."""
     y_doc = np.array([LEVELS.index(g) for _, g in documents] or [0])
     k = len(LEVELS)
     sentences = [(s, d) for d, (ss, _) in enumerate(documents) for s in ss if s]
@@ -149,11 +167,7 @@ def fit_levels(documents: list[tuple[list[list[str]], str]]) -> LevelModel:
 
     w = _adam(grad, (n_cols + n_triples + 1, k), 120, 0.1)
     own = {x: w[i] for x, i in vocabulary.items() if frequent[i]} | {x: w[i] for x, i in lengths.items()}
-    model = LevelModel(own, {t: w[n_cols + i] for t, i in triples.items()}, w[-1], np.eye(k + 1, k), int(np.bincount(y_doc, minlength=k).argmax()))
-    x = np.array([np.append(np.log(model.document(ss) + 1e-3), 1.0) for ss, _ in documents] or [[0.0] * k + [1.0]])
-    target = np.eye(k)[y_doc]
-    model.calibration = _adam(lambda c: x.T @ (_softmax(x @ c) - target) / len(x) + 1e-3 * c, (k + 1, k), 300, 0.1)
-    return model
+    return LevelModel(own, {t: w[n_cols + i] for t, i in triples.items()}, w[-1], np.eye(k + 1, k), int(np.bincount(y_doc, minlength=k).argmax()))
 
 
 def labelled_sample(df: DataFrame, id_col: str, text_col: str, labels: DataFrame, label_id: str, label_col: str, most: int, strata: str | None = None) -> list[tuple[str, list[str]]]:

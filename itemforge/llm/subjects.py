@@ -138,7 +138,7 @@ class TopicModel:
         self.known = [j for j, g in enumerate(self.map) if g is not None]
         own = (self.phi / self.phi.sum(1, keepdims=True))[:, self.known]
         self.own = np.where(own >= OWN, own, 0.0)
-        self.of = np.array([self.map[j] for j in self.known], np.int64)
+        self.into = np.eye(len(SUBJECTS))[[self.map[j] for j in self.known]].reshape(len(self.known), len(SUBJECTS))
 
     def top_terms(self, most: int = TERMS) -> dict[int, list[str]]:
         """Terms of each topic by count times share of the term's own counts."""
@@ -168,21 +168,16 @@ class TopicModel:
             ends.append(len(ids))
         if not ids or not self.known:
             return []
-        kinds, count = np.unique(np.array(ids), return_inverse=True)
-        table = self.phi[kinds]
-        n = np.bincount(count)[:, None]
+        table = self.phi[ids]
         gamma = self.prior + 1.0
-        for _ in range(ROUNDS):
-            r = table * gamma
-            r /= r.sum(1, keepdims=True)
-            gamma = self.prior + (n * r).sum(0)
-        mine = np.where(r[:, self.known] >= DRAWN, self.own[kinds], 0.0)
-        by_word = np.zeros((len(kinds), len(SUBJECTS)))
-        np.add.at(by_word.T, self.of, mine.T)
-        upto = np.vstack([np.zeros(len(SUBJECTS)), by_word[count].cumsum(0)])
-        edges = np.array([0, *ends])
-        treated = (upto[edges[1:]] - upto[edges[:-1]] >= SENTENCE_MASS).sum(0)
-        share = np.bincount(self.of, gamma[self.known] - self.prior[self.known], len(SUBJECTS))
+        for _ in range(ROUNDS):  # gamma = prior + what the words draw in proportion to it
+            gamma = self.prior + gamma * ((1.0 / (table @ gamma)) @ table)
+        drawn = (table * gamma)[:, self.known] >= DRAWN * (table @ gamma)[:, None]
+        upto = np.zeros((len(ids) + 1, len(SUBJECTS)))
+        np.cumsum((drawn * self.own[ids]) @ self.into, axis=0, out=upto[1:])
+        edges = upto[[0, *ends]]
+        treated = (edges[1:] - edges[:-1] >= SENTENCE_MASS).sum(0)
+        share = (gamma - self.prior)[self.known] @ self.into
         share /= share.sum() + 1e-12
         found = np.flatnonzero((treated >= DOCUMENT_SENTENCES) & (share >= LEAST_SHARE))
         return [(SUBJECTS[j], int(treated[j]), float(share[j])) for j in sorted(found.tolist(), key=lambda j: (-treated[j], j))]

@@ -132,6 +132,26 @@ def test_canonical_round_trip():
     assert form.canonical(None) is None and form.canonical("conﬁguração") == "configuração"
 
 
+def test_quick_check_covers_all_of_unicode():
+    form = canonical.Canonizer()
+    for odd, usual in {"3 ㎏": "3 kg", "①": "1", "ⓐ": "a", "ﻻ": "لا", "ŀ": "l·", "Å": "Å", "ﬀ": "ff", "n̋": "n̋", "é": "é", "가": "가"}.items():
+        assert form.canonical(odd) == usual
+    for stable in ("x̄ é a média", "xʰ e 2²", "½ ou ¼", "Miloš Dvořák e Łódź", "2πr e πr² com σ/μ", "שָׁלוֹם"):
+        assert form.segments(stable) == []
+    for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x30000)]):
+        assert unicodedata.is_normalized("NFC", form.canonical("a" + c))
+
+
+@pytest.mark.parametrize("written, read", [("utf-8", "cp1250"), ("utf-8", "iso8859_2"), ("utf-8", "cp1254"), ("cp1252", "cp1250"), ("cp1252", "iso8859_7"), ("cp1252", "cp437"), ("mac_roman", "cp1252")])
+def test_other_code_pages(written, read):
+    fix = encoding.Repairer()
+    text = "A médica ampliou a variância e a informação não é fácil; o avô tinha três pêndulos."
+    garbled = "".join(encoding._decode(bytes([b]), read) or chr(b) for b in text.encode(written))
+    assert garbled != text and fix.spans(garbled) and fix.restore(garbled) == text
+    for right in (text, "Miloš Dvořák e Łódź na Ὀδύσσεια", "a razão σ/μ e 2πr", "d’água — e o “mundo” › fim"):
+        assert fix.spans(right) == []
+
+
 @pytest.mark.parametrize("written, read", [("utf-8", "cp1252"), ("utf-8", "mac_roman"), ("utf-8", "cp850"), ("cp1252", "mac_roman"), ("cp1252", "cp850"), ("cp1252", "cp1251")])
 def test_garbled_round_trip(written, read):
     fix = encoding.Repairer()
