@@ -152,10 +152,10 @@ def offset_resolution(spark, sf):
     return lookup.resolve_position(items, table(spark, sf, "pipeline", "CO_PROVA", "CO_POSICAO"), "CO_PROVA", "CO_POSICAO")
 
 
-@query("""SELECT DISTINCT CO_PROVA FROM itens_prova WHERE CO_PROVA IS NOT NULL AND CO_PROVA NOT IN (SELECT CO_PROVA FROM exam_codes WHERE CO_PROVA IS NOT NULL)""")
+@query("""SELECT DISTINCT CO_PROVA FROM itens_prova WHERE CO_PROVA IS NOT NULL AND CO_PROVA NOT IN (SELECT CO_PROVA FROM exam_codes WHERE CO_PROVA IS NOT NULL AND TP_APLICACAO = 'P1')""")
 def code_reconcile_anti(spark, sf):
-    """Codes that items use and the dictionary lacks."""
-    return lookup.absent(table(spark, sf, "itens_prova", "CO_PROVA"), table(spark, sf, "exam_codes", "CO_PROVA"), "CO_PROVA")
+    """Codes that items use and the first call's list lacks."""
+    return lookup.absent(table(spark, sf, "itens_prova", "CO_PROVA"), table(spark, sf, "exam_codes", "CO_PROVA", "TP_APLICACAO").where("TP_APLICACAO = 'P1'"), "CO_PROVA")
 
 
 @query("SELECT DISTINCT CO_PROVA, SG_AREA, TX_COR FROM itens_prova WHERE CO_PROVA IS NOT NULL AND SG_AREA IS NOT NULL AND TX_COR IS NOT NULL")
@@ -314,26 +314,6 @@ def near_equal_pairs(spark, sf):
     return lookup.supported_extents(df, ["c_nationkey"], "lo", "hi")
 
 
-@query("""WITH b AS (SELECT DISTINCT l_suppkey % 10 AS doc_id, month(l_shipdate) AS page_no, round_even(l_quantity / 2.0, 0) AS k FROM lineitem WHERE l_linenumber = 1 AND l_discount = 0.05),
-    p AS (SELECT l_suppkey % 10 AS doc_id, count(DISTINCT month(l_shipdate)) AS n FROM lineitem GROUP BY ALL), c AS (SELECT doc_id, k, count(*) AS n FROM b GROUP BY ALL)
-    SELECT c.doc_id, CAST(c.k AS INTEGER) AS k, c.n FROM c JOIN p USING (doc_id) WHERE c.n >= greatest(3.0, 0.3 * (p.n - 1))""")
-def repeated_element(spark, sf):
-    """Places that recur on many pages, here months of suppliers' shipments."""
-    li = table(spark, sf, "lineitem", "l_suppkey", "l_shipdate", "l_quantity", "l_linenumber", "l_discount").select((F.col("l_suppkey") % 10).alias("doc_id"), F.month("l_shipdate").alias("page_no"), "l_quantity", "l_linenumber", "l_discount")
-    pages = li.select("doc_id", "page_no").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-    seen = li.where("l_linenumber = 1 and l_discount = 0.05").select("doc_id", "page_no", F.bround(F.col("l_quantity") / 2).cast("int").alias("k")).distinct().groupBy("doc_id", "k").agg(F.count(F.lit(1)).alias("n"))
-    return seen.join(pages, "doc_id").where(F.col("n") >= F.greatest(F.lit(3.0), 0.3 * (F.col("_n") - 1))).drop("_n")
-
-
-@query("""SELECT l_orderkey, count(*) AS n, min(l_quantity) AS x0, max(l_quantity) AS x1, count(*) FILTER (l_returnflag = 'R') AS c FROM lineitem GROUP BY l_orderkey
-          HAVING (count(*) FILTER (l_returnflag = 'R') >= 3 AND max(l_quantity) - min(l_quantity) >= 25) OR (count(*) >= 6 AND max(l_quantity) - min(l_quantity) >= 10)""")
-def envelope_having(spark, sf):
-    """Envelopes of groups that are rich enough."""
-    g = table(spark, sf, "lineitem", "l_orderkey", "l_quantity", "l_returnflag").groupBy("l_orderkey")
-    e = g.agg(F.count(F.lit(1)).alias("n"), F.min("l_quantity").alias("x0"), F.max("l_quantity").alias("x1"), F.count(F.when(F.col("l_returnflag") == "R", 1)).alias("c"))
-    return e.where("(c >= 3 and x1 - x0 >= 25) or (n >= 6 and x1 - x0 >= 10)")
-
-
 @query("SELECT user_id, list_sort(list(value))[CAST(floor(count(*) / 2) AS BIGINT) + 1] AS median, count(*) AS total FROM events WHERE value IS NOT NULL GROUP BY user_id")
 def upper_median(spark, sf):
     """The element at half of the count."""
@@ -348,15 +328,6 @@ def weighted_upper_median(spark, sf):
     return O.upper_median(table(spark, sf, "documents", "lang", "ano", "n_chars"), ["lang"], "ano", "n_chars")
 
 
-@query("""SELECT l_orderkey, count(*) FILTER (l_quantity < 20 AND l_extendedprice > 20000) >= 2 AS single, greatest(737.0, min(CASE WHEN l_linenumber >= 4 THEN l_extendedprice END) - 1) AS bottom FROM lineitem GROUP BY l_orderkey""")
-def crossing_layout(spark, sf):
-    """Column layout by crossing counts and the foot by a bounded minimum."""
-    df = table(spark, sf, "lineitem", "l_orderkey", "l_quantity", "l_extendedprice", "l_linenumber")
-    wide = (F.col("l_quantity") < 20) & (F.col("l_extendedprice") > 20000)
-    foot = F.min(F.when(F.col("l_linenumber") >= 4, F.col("l_extendedprice"))) - 1
-    return df.groupBy("l_orderkey").agg((F.count(F.when(wide, 1)) >= 2).alias("single"), F.greatest(F.lit(737.0), foot).alias("bottom"))
-
-
 @query("""SELECT CAST((l_extendedprice > 10000)::INT + (l_extendedprice > 25000)::INT + (l_extendedprice > 60000)::INT AS INTEGER) AS banda, count(*) AS n FROM lineitem GROUP BY ALL""")
 def bucket_by_boundaries(spark, sf):
     """Values counted by the boundaries below them."""
@@ -365,9 +336,9 @@ def bucket_by_boundaries(spark, sf):
 
 @query()
 def anchor_line_fold(spark, sf):
-    """Events of a user grouped into lines around an anchor."""
-    df = table(spark, sf, "events", "event_id", "user_id", "value").withColumn("h", F.lit(2.0) + F.col("event_id") % 3)
-    return O.anchored_lines(df, ["user_id"], "value", "h", "event_id").withColumn("texts", F.array_join("texts", " "))
+    """Events of a user, in pages of 500 keys, grouped into lines around an anchor."""
+    df = table(spark, sf, "events", "event_id", "user_id", "value").withColumn("h", F.lit(2.0) + F.col("event_id") % 3).withColumn("pagina", F.floor(F.col("event_id") / 500))
+    return O.anchored_lines(df, ["user_id", "pagina"], "value", "h", "event_id").withColumn("texts", F.array_join("texts", " "))
 
 
 # --- text -------------------------------------------------------------------------------------------------------------
@@ -420,16 +391,6 @@ def whitespace_collapse(spark, sf):
     return table(spark, sf, "documents", "doc_id", "text").select("doc_id", S.collapse(F.col("text")).alias("texto"))
 
 
-@query("""SELECT ID_LINHA, coalesce(regexp_matches(DESC_ENUNCIADO, '(?i)\\b(dados|números|registros) (coletados|reunidos|obtidos)\\b'), false) AS dados,
-               coalesce(contains(DESC_ENUNCIADO, '| --- |'), false) AS tabela FROM pipeline""")
-def keyword_flags(spark, sf):
-    """Phrase and table flags of statements."""
-    t = F.col("DESC_ENUNCIADO")
-    return table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO").select(
-        "ID_LINHA", F.coalesce(t.rlike(r"(?iu)\b(dados|números|registros) (coletados|reunidos|obtidos)\b"), F.lit(False)).alias("dados"), F.coalesce(t.contains("| --- |"), F.lit(False)).alias("tabela")
-    )
-
-
 @query("""SELECT r_name, '| ' || 'nation' || ' | ' || 'key' || ' |' || chr(10) || '|---|---|' || chr(10) || string_agg('| ' || n_name || ' | ' || n_nationkey || ' |', chr(10) ORDER BY n_nationkey) AS markdown
           FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""")
 def table_markdown(spark, sf):
@@ -451,35 +412,6 @@ def first_sheet_wins(spark, sf):
     return rows.groupBy("ano", "sg_area").agg(F.min("sheet_no").alias("sheet_no"))
 
 
-@query("""WITH c AS (SELECT ID_LINHA, (coalesce(DESC_ALTER_A, '') = '')::INT + (coalesce(DESC_ALTER_B, '') = '')::INT + (coalesce(DESC_ALTER_C, '') = '')::INT + (coalesce(DESC_ALTER_D, '') = '')::INT
-                 + (coalesce(DESC_ALTER_E, '') = '')::INT AS n FROM pipeline) SELECT ID_LINHA, CAST(n AS INTEGER) AS vazias, n / 5.0 > 0.15 AS recusada FROM c""")
-def empty_cell_gate(spark, sf):
-    """Rows of cells refused for their share of empty cells."""
-    df = table(spark, sf, "pipeline", "ID_LINHA", *publish.TEXTS[1:])
-    empty = F.size(F.filter(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in publish.TEXTS[1:]]), lambda c: c == ""))
-    return df.select("ID_LINHA", empty.alias("vazias"), (empty / 5.0 > 0.15).alias("recusada"))
-
-
-@query("""WITH l AS (SELECT ID_LINHA, unnest(string_split(DESC_ENUNCIADO, chr(10))) AS s FROM pipeline)
-          SELECT ID_LINHA, count(*) AS n_linhas, count(*) FILTER (regexp_matches(trim(s), '^[0-9]{1,2}$') OR regexp_matches(upper(s), '\\bP[ÁA]GINA\\s*[0-9]+')) AS n_pagina FROM l GROUP BY ID_LINHA""")
-def line_drop(spark, sf):
-    """Lines of statements, and how many are page numbers."""
-    lines = table(spark, sf, "pipeline", "ID_LINHA", "DESC_ENUNCIADO").where("DESC_ENUNCIADO is not null").select("ID_LINHA", F.explode(F.split("DESC_ENUNCIADO", "\n")).alias("s"))
-    page = F.trim("s").rlike(r"^[0-9]{1,2}$") | F.upper("s").rlike(r"\bP[ÁA]GINA\s*[0-9]+")
-    return lines.groupBy("ID_LINHA").agg(F.count(F.lit(1)).alias("n_linhas"), F.count(F.when(page, 1)).alias("n_pagina"))
-
-
-@query()
-def glued_command(spark, sf):
-    """Formulas of alternatives with glued commands split and formulas marked."""
-
-    @F.pandas_udf("string")
-    def mark(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: Q.format_alternative(Q.split_glued(t.replace("\\pi", "\\pih").replace("\\pih \\", "\\pi \\"))), na_action="ignore")
-
-    return table(spark, sf, "pipeline", "ID_LINHA", "DESC_ALTER_A").select("ID_LINHA", mark("DESC_ALTER_A").alias("texto"))
-
-
 @query("""WITH w AS (SELECT ID_LINHA, DESC_ALTER_A AS t, regexp_extract_all(regexp_replace(DESC_ALTER_A, '[_^]\\{[^{}]*\\}|\\\\[a-zA-Z]+', ' ', 'g'), '[A-Za-zÀ-ÿ]{3,}') AS w FROM pipeline WHERE DESC_ALTER_A IS NOT NULL AND NOT contains(DESC_ALTER_A, chr(92))),
                k AS (SELECT ID_LINHA, list_filter(w, lambda x: NOT list_contains(['log', 'sen', 'cos', 'tg', 'rad', 'det', 'max', 'min', 'lim', 'mod'], lower(x))) AS w FROM w)
           SELECT ID_LINHA, len(w) > 1 OR len(list_filter(w, lambda x: length(x) > 3)) > 0 AS prosa FROM k""")
@@ -492,12 +424,3 @@ def prose_test(spark, sf):
 
     df = table(spark, sf, "pipeline", "ID_LINHA", "DESC_ALTER_A").where("DESC_ALTER_A is not null and not contains(DESC_ALTER_A, '\\\\')")
     return df.select("ID_LINHA", test("DESC_ALTER_A").alias("prosa"))
-
-
-@query("""WITH b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity AS size, max(l_quantity) OVER (PARTITION BY l_orderkey) AS base FROM lineitem)
-          SELECT l_orderkey, count(*) AS n, count(*) FILTER (size < 0.85 * base) AS n_scripts FROM b GROUP BY l_orderkey""")
-def script_tokens(spark, sf):
-    """Tokens of a line smaller than 85 % of its largest, here quantities of an order."""
-    df = table(spark, sf, "lineitem", "l_orderkey", "l_quantity")
-    base = df.groupBy("l_orderkey").agg(F.max("l_quantity").alias("b"), F.collect_list("l_quantity").alias("q"))
-    return base.select("l_orderkey", F.size("q").cast("bigint").alias("n"), F.size(F.filter("q", lambda x: x < 0.85 * F.col("b"))).cast("bigint").alias("n_scripts"))

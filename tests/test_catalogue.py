@@ -1,6 +1,6 @@
 import pytest
 
-from itemforge.plans import catalogue
+from itemforge.plans import catalogue, pages  # noqa: F401
 from tests import oracle
 
 SF = "/root/testdata/sf0.001"
