@@ -157,6 +157,6 @@ def insert_tables(df: DataFrame, tables: DataFrame, columns: list[str]) -> DataF
     joined = df.join(maps, df.doc_id == maps._d, "left")
     for c in columns:
         parts = F.split(F.col(c), r"(?=\ue010)|(?<=\ue011)")
-        shown = F.transform(parts, lambda p: F.when(p.startswith("\ue010"), F.concat(F.lit("\n"), F.coalesce(F.try_element_at(F.col("_m"), F.regexp_replace(p, "[\ue010\ue011]", "")), F.lit("")), F.lit("\n"))).otherwise(p))
+        shown = F.transform(parts, lambda p: F.when(p.startswith("\ue010"), F.concat(F.lit("\n"), F.coalesce(F.try_element_at(F.col("_m"), F.regexp_replace(p, "[\ue010\ue011]", "")), F.lit("")), F.lit("\n"))).otherwise(F.trim(p)))
         joined = joined.withColumn(c, F.when(F.col(c).contains("\ue010"), F.trim(F.regexp_replace(F.array_join(shown, ""), r"^\s+|\s+$", ""))).otherwise(F.col(c)))
     return joined.drop("_d", "_m")

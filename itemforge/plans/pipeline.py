@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from itemforge.functions import scalar as S
 from itemforge.operators import booklets, dictionary, publish
 from itemforge.operators.summaries import match_rate
+from itemforge.plans import extraction
 from itemforge.session import ship
 
 YEARS = tuple(range(2009, 2025))
@@ -69,6 +70,21 @@ def report(df: DataFrame) -> DataFrame:
     return by.unionByName(whole, allowMissingColumns=True)
 
 
+def read_booklets(spark: SparkSession, folder: Path, read, questions: str | None, prints: str | None, out: str) -> tuple[DataFrame, DataFrame]:
+    """(questions, booklets with covers): as given, or read from the booklet files and kept in ``out``."""
+    if questions and prints:
+        return read(questions), read(prints)
+    listing = sorted(p for p in folder.rglob("*") if p.suffix.lower() == ".pdf")
+    if not listing:
+        raise FileNotFoundError(f"no booklets in {folder}")
+    found, covers = extraction.extract(spark, [str(p) for p in listing])
+    parents = spark.createDataFrame([(p.name, p.parent.name) for p in listing], "name string, parent_name string").dropDuplicates(["name"])
+    if not questions:
+        found.write.mode("overwrite").parquet(f"{out}/questions")
+    covers.join(parents, "name").write.mode("overwrite").parquet(f"{out}/booklets")
+    return read(questions or f"{out}/questions"), read(prints or f"{out}/booklets")
+
+
 def main(argv: list[str] | None = None) -> int:
     """Command line: put folders in order, write the text subset, or build the bank; one bad year does not stop the rest."""
     from itemforge.sources import folders, items as item_files
@@ -82,9 +98,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--text-subset", action="store_true", help="write the text subset of the bank")
     p.add_argument("--base-dir", type=Path, default=Path("."))
     p.add_argument("--output-dir", type=Path, default=Path("out"))
-    p.add_argument("--questions", help="Parquet folder of extracted questions")
+    p.add_argument("--questions", help="Parquet folder of extracted questions; without it the booklet files are read")
     p.add_argument("--catalogue", help="Parquet folder of the file catalogue")
-    p.add_argument("--booklets", help="Parquet folder of booklets with covers")
+    p.add_argument("--booklets", help="Parquet folder of booklets with covers; without it the booklet files are read")
     a = p.parse_args(argv)
     if a.organize:
         for r in folders.plan_all(a.base_dir):
@@ -103,9 +119,11 @@ def main(argv: list[str] | None = None) -> int:
         try:
             found = folders.locate(a.base_dir, year)
             cells = spark.read.format("itemforge_workbook").load(str(found.dictionary)).where("error is null").withColumn("ano", F.lit(year).cast("bigint"))
-            listed = read(a.booklets).withColumn("ano", F.lit(year).cast("bigint"))
+            questions, listed = read_booklets(spark, found.booklets, read, a.questions, a.booklets, str(a.output_dir / "extracted" / str(year)))
+            listed = listed.withColumn("ano", F.lit(year).cast("bigint"))
             prints = booklets.fingerprint(listed).withColumn("ano", F.lit(year).cast("bigint"))
-            edition = run_edition(item_files.read_items(spark, str(found.items)), cells, prints, read(a.catalogue), listed, read(a.questions), year, areas)
+            catalogue = read(a.catalogue) if a.catalogue else spark.createDataFrame([], "ano bigint, app string, day int, color string, filename string")
+            edition = run_edition(item_files.read_items(spark, str(found.items)), cells, prints, catalogue, listed, questions, year, areas)
             item_files.write_bank(edition, bank)
             report(item_files.read_bank(spark, bank, [year])).show(truncate=False)
         except Exception as e:  # reported; the other years go on

@@ -62,3 +62,29 @@ def test_fonts():
     assert fonts.differences([65, "Aacute", "B", 200, "atilde"]) == {65: "Á", 66: "B", 200: "ã"}
     assert fonts.private_use("\uf070", "Symbol") == "π" and fonts.private_use("\uf041", "Arial") == "A" and fonts.private_use("x") == "x"
     assert fonts.code_map("beginbfrange <0001> <0003> <0041> <0005> <0006> [<00E3> <00E7>] endbfrange") == {1: "A", 2: "B", 3: "C", 5: "ã", 6: "ç"}
+
+
+def _page(lines, strokes=b""):
+    body = b"".join(b"BT /F1 10 Tf 1 0 0 1 %d %d Tm (%s) Tj ET " % (x, y, t.encode("cp1252").replace(b"(", b"\\(").replace(b")", b"\\)")) for x, y, t in lines)
+    return body + strokes
+
+
+def test_booklet_to_questions(tmp_path, spark):
+    from itemforge.plans import extraction
+
+    cover = _page([(50, 700, "CADERNO DE QUESTÕES"), (50, 680, "1º DIA - CADERNO 1 - AZUL")])
+    table = [(60, 545, "cidade"), (200, 545, "total"), (60, 525, "Alfa"), (200, 525, "12"), (60, 505, "Beta"), (200, 505, "15")]
+    rules = b"".join(b"50 %d m 260 %d l S " % (y, y) for y in (560, 540, 520, 500))
+    first = _page([(50, 650, "QUESTÃO 1"), (50, 630, "Qual é o total de"), (50, 615, "todas as cidades da"), (50, 600, "tabela?"), *table, *[(50, 480 - 15 * k, f"{x} resposta {k}") for k, x in enumerate("ABCDE")]], rules)
+    second = _page([(50, 650, "QUESTÃO 2"), (50, 630, "Outra pergunta."), *[(50, 610 - 15 * k, f"{x} opção {k}") for k, x in enumerate("ABCDE")], (50, 300, "QUESTÃO 3"), (50, 280, "Conforme a figura, diga.")])
+    path = make(tmp_path / "prova_azul.pdf", [cover, first, second, _page([(50, 700, "fim")])])
+    (tmp_path / "bad.pdf").write_bytes(b"%PDF /Encrypt")
+    questions, booklets = extraction.extract(spark, [str(path), str(tmp_path / "bad.pdf")])
+    got = {r.CO_POSICAO: r for r in questions.collect()}
+    assert sorted(got) == [1, 2, 3] and {r.REF_ARQUIVO_PDF for r in got.values()} == {"prova_azul.pdf"}
+    assert got[1].DESC_ENUNCIADO == "Qual é o total de todas as cidades da tabela?\n| cidade | total |\n|---|---|\n| Alfa | 12 |\n| Beta | 15 |" and got[1].IN_ITEM_TABELA == 1
+    assert [got[2][f"DESC_ALTER_{x}"] for x in "ABCDE"] == [f"opção {k}" for k in range(5)] and got[2].IN_ITEM_IMAGEM == 0
+    assert got[3].IN_ITEM_IMAGEM == 1 and got[3].DESC_ALTER_A == "[Figura / Imagem]"
+    b = booklets.collect()
+    assert [(r.name, r.page_count) for r in b] == [("prova_azul.pdf", 4)] and "AZUL" in b[0].cover_text
+    assert [r.name for r in extraction.unreadable(spark, [str(path), str(tmp_path / "bad.pdf")]).collect()] == ["bad.pdf"]
