@@ -7,7 +7,7 @@ file and kind of primitive.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -53,9 +53,12 @@ def covers(pages: DataFrame, lines: DataFrame) -> DataFrame:
     return counted.select(F.col("doc_id").alias("name"), "page_count", text.alias("cover_text"))
 
 
-@F.pandas_udf("string")
-def _markdown(rows: pd.Series, caption: pd.Series) -> pd.Series:
-    return pd.Series([None if r is None else Q.markdown([list(x) for x in r], c) for r, c in zip(rows, caption)])
+def _markdown(rows: str, caption: str) -> Column:
+    @F.pandas_udf("string")
+    def show(r: pd.Series, c: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else Q.markdown([list(y) for y in x], t) for x, t in zip(r, c)])
+
+    return show(rows, caption)
 
 
 def extract(spark: SparkSession, paths: list[str], brand: str = Q.BRAND) -> tuple[DataFrame, DataFrame]:
