@@ -70,11 +70,14 @@ def split_questions(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     )
 
 
-def with_language(questions: DataFrame) -> DataFrame:
-    """Adds ``tp_lingua``: a document holds two languages if questions 1 and 2 both come at least twice."""
+def with_language(questions: DataFrame, block: int | None = None) -> DataFrame:
+    """Adds ``tp_lingua``: a document holds two languages if questions 1 and 2 both come at least twice.
+
+    ``block`` cuts documents too large for one task (see ``running_count``); booklets need none.
+    """
     twice = questions.groupBy("doc_id").agg((F.count(F.when(F.col("co_posicao") == 1, 1)) >= 2).alias("_a"), (F.count(F.when(F.col("co_posicao") == 2, 1)) >= 2).alias("_b"))
     flagged = questions.join(twice.select("doc_id", (F.col("_a") & F.col("_b")).alias("_double")), "doc_id")
-    return language_variant(flagged, "doc_id", "split_no", "co_posicao", "_double").drop("_double")
+    return language_variant(flagged, "doc_id", "split_no", "co_posicao", "_double", block).drop("_double")
 
 
 def mentions_image(text: Column) -> Column:

@@ -14,26 +14,52 @@ def _cols(names: list[str]) -> list[Column]:
     return [F.col(f"`{n}`") for n in names]
 
 
-def running_count(df: DataFrame, part: list[str], order: list[str], when: Column, name: str) -> DataFrame:
-    """Number of rows so far, this one included, for which ``when`` holds; null conditions do not count."""
-    w = W.partitionBy(*_cols(part)).orderBy(*_cols(order)).rowsBetween(W.unboundedPreceding, 0)
-    return df.withColumn(name, F.sum(F.when(when, 1).otherwise(0)).over(w))
+def _by_blocks(df: DataFrame, part: list[str], order: str, block: int, last: Column, name: str, add: bool) -> DataFrame:
+    """``df`` with ``_blk`` and ``name``: what ``last``, an aggregate of each block of ``block`` order values, comes to over all blocks before.
+
+    A hot partition is cut by its order values, so that no task sorts it whole; blocks are few, and their windows small.
+    """
+    cut = df.withColumn("_blk", F.floor(F.col(f"`{order}`") / block))
+    each = cut.groupBy(*_cols(part), "_blk").agg(last.alias("_v"))
+    before = W.partitionBy(*_cols(part)).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
+    carried = each.withColumn(name, F.sum("_v").over(before) if add else F.last("_v", ignorenulls=True).over(before))
+    side = carried.select(*[F.col(f"`{p}`").alias(f"_p{i}") for i, p in enumerate(part)], F.col("_blk").alias("_b"), name)
+    on = [cut[p].eqNullSafe(side[f"_p{i}"]) for i, p in enumerate(part)] + [cut["_blk"].eqNullSafe(side["_b"])]
+    return cut.join(side, on, "left").drop("_b", *[f"_p{i}" for i in range(len(part))])
+
+
+def running_count(df: DataFrame, part: list[str], order: list[str], when: Column, name: str, block: int | None = None) -> DataFrame:
+    """Number of rows so far, this one included, for which ``when`` holds; null conditions do not count.
+
+    With ``block``, for one whole-number order column, partitions are counted by blocks of so many order values first.
+    """
+    hit = F.when(when, 1).otherwise(0)
+    if block is None:
+        return df.withColumn(name, F.sum(hit).over(W.partitionBy(*_cols(part)).orderBy(*_cols(order)).rowsBetween(W.unboundedPreceding, 0)))
+    offset = _by_blocks(df.withColumn("_hit", hit), part, order[0], block, F.sum("_hit"), "_off", True)
+    w = W.partitionBy(*_cols(part), "_blk").orderBy(*_cols(order)).rowsBetween(W.unboundedPreceding, 0)
+    return offset.withColumn(name, F.coalesce("_off", F.lit(0)) + F.sum("_hit").over(w)).drop("_hit", "_off", "_blk")
 
 
-def language_variant(df: DataFrame, doc: str, order: str, number: str, doubled: str) -> DataFrame:
+def language_variant(df: DataFrame, doc: str, order: str, number: str, doubled: str, block: int | None = None) -> DataFrame:
     """Language of a numbered question in a document that holds both: 0 up to the first repeat of question 1, then 1.
 
     Only numbers up to 5 have a language; before any question 1 the later language holds, as the counter is still 0.
     """
-    counted = running_count(df, [doc], [order], F.col(number) == 1, "_ones")
+    counted = running_count(df, [doc], [order], F.col(number) == 1, "_ones", block)
     lang = F.when(F.col(doubled) & (F.col(number) <= 5), F.when(F.col("_ones") == 1, 0.0).otherwise(1.0))
     return counted.withColumn("tp_lingua", lang).drop("_ones")
 
 
-def carry_forward(df: DataFrame, part: list[str], order: list[str], value: str, name: str) -> DataFrame:
-    """Last non-null value up to this row; null before the first."""
-    w = W.partitionBy(*_cols(part)).orderBy(*_cols(order)).rowsBetween(W.unboundedPreceding, 0)
-    return df.withColumn(name, F.last(F.col(value), ignorenulls=True).over(w))
+def carry_forward(df: DataFrame, part: list[str], order: list[str], value: str, name: str, block: int | None = None) -> DataFrame:
+    """Last non-null value up to this row; null before the first.  ``block`` as in ``running_count``."""
+    if block is None:
+        w = W.partitionBy(*_cols(part)).orderBy(*_cols(order)).rowsBetween(W.unboundedPreceding, 0)
+        return df.withColumn(name, F.last(F.col(value), ignorenulls=True).over(w))
+    last = F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(f"`{order[0]}`")))
+    joined = _by_blocks(df, part, order[0], block, last, "_off", False)
+    w = W.partitionBy(*_cols(part), "_blk").orderBy(*_cols(order)).rowsBetween(W.unboundedPreceding, 0)
+    return joined.withColumn(name, F.coalesce(F.last(F.col(value), ignorenulls=True).over(w), "_off")).drop("_off", "_blk")
 
 
 def next_boundary(df: DataFrame, part: list[str], order: list[str], start: str, end: str, name: str) -> DataFrame:

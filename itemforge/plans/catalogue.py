@@ -14,6 +14,8 @@ from itemforge.operators import booklets, dictionary, lookup, publish, segment,
 from itemforge.operators import windows as O
 from itemforge.session import table, texts
 
+#: Order values of a block of a hot partition.
+BLOCK = 1 << 16
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -221,14 +223,14 @@ def running_variant_flag(spark, sf):
     """Language of repeated question numbers by a running counter."""
     df = table(spark, sf, "pipeline", "ID_LINHA", "CO_PROVA", "CO_POSICAO").where("CO_PROVA is not null")
     n = df.select("ID_LINHA", F.col("CO_PROVA").alias("doc_id"), F.col("ID_LINHA").alias("split_no"), (F.col("CO_POSICAO") % 7).alias("co_posicao"))
-    return segment.with_language(n).select("ID_LINHA", F.col("doc_id").alias("CO_PROVA"), F.col("co_posicao").alias("num"), F.col("tp_lingua").cast("double").alias("tp_lingua"))
+    return segment.with_language(n, BLOCK).select("ID_LINHA", F.col("doc_id").alias("CO_PROVA"), F.col("co_posicao").alias("num"), F.col("tp_lingua").cast("double").alias("tp_lingua"))
 
 
 @query("""SELECT ID_LINHA, NU_LOTE, last_value(CO_HABILIDADE IGNORE NULLS) OVER (PARTITION BY NU_LOTE ORDER BY ID_LINHA ROWS UNBOUNDED PRECEDING) AS atual FROM pipeline""")
 def carry_forward(spark, sf):
     """The last known skill of each load."""
     df = table(spark, sf, "pipeline", "ID_LINHA", "NU_LOTE", "CO_HABILIDADE")
-    return O.carry_forward(df, ["NU_LOTE"], ["ID_LINHA"], "CO_HABILIDADE", "atual").drop("CO_HABILIDADE")
+    return O.carry_forward(df, ["NU_LOTE"], ["ID_LINHA"], "CO_HABILIDADE", "atual", BLOCK).drop("CO_HABILIDADE")
 
 
 @query("""SELECT event_id, user_id, coalesce(lead(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), max(value) OVER (PARTITION BY user_id)) AS fim FROM events""")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -20,6 +22,7 @@ def local_session(cpus: int | None = None, app: str = "itemforge") -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -31,11 +34,13 @@ def ship(spark: SparkSession) -> None:
     sc, root = spark.sparkContext, Path(__file__).resolve().parent
     if getattr(sc, "_itemforge_sent", False) or not root.is_dir():
         return
-    target = Path(tempfile.mkdtemp(prefix="itemforge")) / "itemforge.zip"
+    folder = tempfile.mkdtemp(prefix="itemforge")
+    target = Path(folder) / "itemforge.zip"
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, Path("itemforge") / p.relative_to(root))
-    sc.addPyFile(str(target))
+    sc.addPyFile(str(target))  # executors fetch it from the driver
+    atexit.register(shutil.rmtree, folder, True)
     sc._itemforge_sent = True
 
 
@@ -57,9 +62,14 @@ def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a private one only where none is named."""
+    """The shared folder that the session names; where it names none, a private one of a local session.
+
+    On a cluster a folder of one machine would lose checkpoints with it, so there the setting is required.
+    """
     sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
     if not sc.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder")
         sc.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return sc.getCheckpointDir()

@@ -108,3 +108,11 @@ def test_casts_and_rules(spark):
     with pytest.raises(Exception, match="unknown area"):
         areas.select(S.exam_day(F.col("a"), F.col("y"), strict=True)).collect()
     assert [r[0] for r in spark.createDataFrame([(" amarela ",), ("Roxo",), (None,)], "c string").select(S.colour(F.col("c"))).collect()] == ["AMARELO", None, None]
+
+
+def test_blocks_equal_whole_windows(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice([1, 1, 1, 2, None]), k, rng.choice([None, None, 1, 2, 3])) for k in range(200)]
+    df = spark.createDataFrame(rows, "g int, k int, v int")
+    for make in (lambda b: O.carry_forward(df, ["g"], ["k"], "v", "x", b), lambda b: O.running_count(df, ["g"], ["k"], F.col("v") == 1, "x", b)):
+        assert sorted(map(tuple, make(16).select("k", "x").collect())) == sorted(map(tuple, make(None).select("k", "x").collect()))
