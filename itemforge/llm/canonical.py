@@ -1,9 +1,8 @@
 """Problem 3: visually identical text made of different characters.
 
-Method: a quick-check class over all of Unicode (one compiled character set, built from the normalisation properties of every
-code point: those whose quick check is "no", those whose check is "maybe" because they combine with what is before them,
+Method: a quick-check set over all of Unicode (built once from the normalisation properties of every code point: those whose quick check is "no", those whose check is "maybe" because they combine with what is before them,
 blanks that are not U+0020 and invisible characters; and look-alike letters, which no property tells) isolates unstable
-segments.  Only a segment, widened to the word around it, is normalised; the canonical piece is spliced into the unchanged
+segments; one scan for characters that are not usual says where to look.  Only a segment, widened to the word around it, is normalised; the canonical piece is spliced into the unchanged
 text, if it differs.  What a wrong encoding left behind is recognised first and is no unstable segment.
 
 Superscripts, ordinal signs, quotation marks, dashes, Greek symbols in formulas and whole words in another script are
@@ -38,43 +37,46 @@ GREEK_FORMULA = frozenset("ανρικυχ")
 _OPERATORS = frozenset("=/+−-·×^_<>≤≥")
 
 
-def _ranges(points: list[int]) -> str:
-    """Ascending code points as ranges of a character class."""
-    out, k = [], 0
-    while k < len(points):
-        j = k
-        while j + 1 < len(points) and points[j + 1] == points[j] + 1:
-            j += 1
-        out.append(re.escape(chr(points[k])) + ("-" + re.escape(chr(points[j])) if j > k else ""))
-        k = j + 1
-    return "".join(out)
-
-
-def _quick_check() -> tuple[str, str]:
-    """(code points whose quick check is "no", combining ones), as character classes, over all of Unicode.
+def _quick_check() -> tuple[frozenset[str], frozenset[str]]:
+    """(code points whose quick check is "no", combining ones) over all of Unicode.
 
     Superscripts, subscripts and fractions keep their meaning only as they are and count as stable; so do signs in ``STABLE``.
     """
-    no, combining = [], []
+    no, combining = set(), set()
     for cp in range(0x80, sys.maxunicode + 1):
         c = chr(cp)
         if unicodedata.combining(c):
-            combining.append(cp)
+            combining.add(c)
         elif not unicodedata.is_normalized("NFKC", c) and c not in STABLE and not 0xD800 <= cp < 0xE000 and not unicodedata.decomposition(c).startswith(("<super>", "<sub>", "<fraction>")):
-            no.append(cp)
-    return _ranges(no), _ranges(combining)
+            no.add(c)
+    return frozenset(no), frozenset(combining)
 
 
 _NO, _MARKS = _quick_check()
-_FIRM = _NO + INVISIBLE + BLANKS + _MARKS
-_UNSTABLE = re.compile(f"[{_FIRM}{''.join(LOOKALIKES)}]")
+_LOOSE = re.compile(f"[{INVISIBLE}{BLANKS}]")
 _ANY_SUSPECT = re.compile("[^\\x00-\\x7fáàâãçéêíñóôõúüÁÀÂÃÇÉÊÍÓÔÕÚºª°²³–—“”•€£©]")
-_MARK = re.compile(f"[{_MARKS}]")
-#: The context of a segment: the unbroken run of letters, marks and invisible characters around it.
-_RUN = re.compile(f"[^\\W\\d_{INVISIBLE}](?:[^\\W\\d_]|[{_MARKS}{INVISIBLE}])*")
+
+
+def _is_unstable(c: str) -> bool:
+    return c in _NO or c in _MARKS or c in LOOKALIKES or bool(_LOOSE.match(c))
+
+
 _SKIP = re.compile(f"[{INVISIBLE}]+")
 
 
+def _runs(text: str) -> list[tuple[int, int]]:
+    """The contexts of segments: unbroken runs of letters, with the marks and invisible characters inside them."""
+    out, begin = [], None
+    for i, c in enumerate(text):
+        inside = c.isalpha() or begin is not None and (c in _MARKS or bool(_SKIP.match(c)))
+        if inside and begin is None:
+            begin = i
+        elif not inside and begin is not None:
+            out.append((begin, i))
+            begin = None
+    return out + ([(begin, len(text))] if begin is not None else [])
+
+
 class Canonizer:
     """Canonical form of texts; built once in each task."""
 
@@ -85,7 +87,7 @@ class Canonizer:
         """Unstable segments with their canonical replacement, left to right, not overlapping."""
         if not text or not _ANY_SUSPECT.search(text):
             return []
-        hits = [m.start() for m in _UNSTABLE.finditer(text)]
+        hits = [m.start() for m in _ANY_SUSPECT.finditer(text) if _is_unstable(m.group())]
         if not hits:
             return []
         left: set[int] = set()
@@ -100,13 +102,13 @@ class Canonizer:
             c = text[i]
             if c in LOOKALIKES:
                 if runs is None:
-                    runs = [(m.start(), m.end()) for m in _RUN.finditer(text)]
+                    runs = _runs(text)
                 b, e = next(((b, e) for b, e in runs if b <= i < e), (i, i + 1))
                 if not self._stands_for_latin(text, i, b, e):
                     continue
                 out.append((i, i + 1, LOOKALIKES[c]))
                 done = i + 1
-            elif _MARK.match(c):
+            elif c in _MARKS:
                 b = i - 1 if i else i
                 if out and out[-1][1] > b:
                     b, head = out[-1][0], out[-1][2]
@@ -114,7 +116,7 @@ class Canonizer:
                 else:
                     head = text[b:i]
                 e = i + 1
-                while e < len(text) and (_MARK.match(text[e]) or _SKIP.match(text[e])):
+                while e < len(text) and (text[e] in _MARKS or _SKIP.match(text[e])):
                     e += 1
                 whole = unicodedata.normalize("NFC", head + _SKIP.sub("", text[i:e]))
                 if whole != text[b:e]:  # a mark that nothing composes with stays

@@ -28,14 +28,14 @@ from itemforge.llm.canonical import Canonizer
 from itemforge.llm.scan import join_broken, strip_running
 
 LANGUAGES = ("pt", "en", "es")
-SAMPLE_ROWS, SAMPLE_CHARS = 400, 90_000
+SAMPLE_ROWS, SAMPLE_CHARS = 400, 60_000
 MIN_WORDS = 6
 CACHE_STEPS = 600_000
 #: Prices of a change of language in phrases: between two sentences, and inside one.
 CHANGE, CHANGE_INSIDE = 1.0, 3.0
 _PIECES = re.compile(r"[.!?…“”\"«»\n]+")
 _TABLE_LINE = re.compile(r"^\|.*\|[ \t]*$", re.M)
-_WRAPPED = re.compile(r"[ \t]*\n[ \t]*(?=[a-zà-ÿ])")
+_WRAPPED = re.compile(r"\n[ \t]*(?=[a-zà-ÿ])")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _ANY_WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
 #: A reference line: surname in capitals, initial, source.
@@ -72,14 +72,15 @@ class SuffixAutomaton:
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
-        self.follow = follow
-        self.start = follow[0].get(" ", 0)
+        # One flat table: small, and nothing in it for the garbage collector to walk.
+        self.follow = {(state << 21) | ord(c): to for state, by in enumerate(follow) for c, to in by.items()}
+        self.start = self.follow.get(ord(" "), 0)
         self.steps: dict[tuple[int, str], tuple[int, int]] = {}
 
     def _read(self, state: int, text: str) -> int | None:
         """The state after ``text``, or None where no longer match holds it."""
         for c in text:
-            state = self.follow[state].get(c)
+            state = self.follow.get((state << 21) | ord(c))
             if state is None:
                 return None
         return state
@@ -89,7 +90,7 @@ class SuffixAutomaton:
         count, at, text = 0, 0, f" {word} "
         while at < len(text):
             state, k = 0, at
-            while k < len(text) and (to := self.follow[state].get(text[k])) is not None:
+            while k < len(text) and (to := self.follow.get((state << 21) | ord(text[k]))) is not None:
                 state, k = to, k + 1
             count, at = count + 1, max(k, at + 1)
         return count
@@ -120,7 +121,17 @@ class SuffixAutomaton:
 
 def _words_of(sentence: str) -> list[str | None]:
     """Lower-case words of a sentence; names inside it and words without letters, which tell no language, are None."""
-    words = _ANY_WORD.findall(sentence)
+    return _lowered(_ANY_WORD.findall(sentence))
+
+
+def _pieces(text: str) -> Iterator[list[str | None]]:
+    """Words of every sentence that has some, as ``_words_of`` gives them."""
+    for piece in _PIECES.split(text):
+        if words := _ANY_WORD.findall(piece):
+            yield _lowered(words)
+
+
+def _lowered(words: list[str]) -> list[str | None]:
     odd = [k for k, w in enumerate(words) if not (w.islower() and w.isalpha())]
     if odd == [0] and words[0].isalpha() and len(words) > 2:
         words[0] = words[0].lower()
@@ -203,18 +214,20 @@ class Classifier:
             del self.joint[1:]
             self.ids = {self.joint[0]: 0}
             self.steps.clear()
-            return (0, *self._read(self.joint[0], word)[1:])
-        state, new, least = self._read(self.joint[joint], word)
-        at = self.ids.setdefault(state, len(self.joint))
-        if at == len(self.joint):
-            self.joint.append(state)
-        found = self.steps[joint, word] = (at, new, least)
+            joint = 0
+        after, new = [], []
+        for automaton, state in zip(self.profile.automata, self.joint[joint]):
+            found = automaton.steps.get((state, word)) or automaton.step(state, word)
+            after.append(found[0])
+            new.append(found[1])
+        states = tuple(after)
+        at = self.ids.get(states)
+        if at is None:
+            at = self.ids[states] = len(self.joint)
+            self.joint.append(states)
+        found = self.steps[joint, word] = (at, tuple(new), min(new))
         return found
 
-    def _read(self, states: tuple[int, ...], word: str) -> tuple[tuple[int, ...], tuple[int, ...], int]:
-        after, new = zip(*(a.step(s, word) for a, s in zip(self.profile.automata, states)))
-        return after, new, min(new)
-
     def clean(self, text: str) -> str:
         """The text in its undamaged form, as far as it can be told."""
         if not text.isascii():
@@ -231,10 +244,7 @@ class Classifier:
     def _units(self, text: str) -> Iterator[tuple[float, int, list[int]]]:
         """(price of a change before it, words, phrases by language) of sentences, and of single words of mixed sentences."""
         steps, none = self.steps, (0,) * len(self.profile.languages)
-        for piece in _PIECES.split(text):
-            words = _words_of(piece)
-            if not words:
-                continue
+        for words in _pieces(text):
             at, least, costs = 0, 0, []
             for w in words:
                 if w is not None:
