@@ -84,6 +84,8 @@ def garbled_table() -> dict[str, list[tuple[str, str]]]:
 
 #: A text without these is clean; the test costs one scan.
 _SUSPECT = re.compile("[^\\x00-\\x7fáàâãçéêíñóôõúüºª°²³–—“”‘’…•€]")
+#: What every garbled sequence has at least one of.
+_TRIGGER = re.compile("[^\\x00-\\x7fáàâãçéêíñóôõúüºª°²]")
 
 
 class Repairer:
@@ -94,6 +96,7 @@ class Repairer:
 
         self.automaton = ahocorasick.Automaton()
         table = garbled_table()
+        self.longest = max(map(len, table))
         plain = {f"{w}>{r}" for w, r in PLAIN_PAIRS}
         #: Single characters that only other pairs give.
         self.strict = frozenset(seq for seq, readings in table.items() if len(seq) == 1 and not any(p in plain for p, _ in readings))
@@ -101,13 +104,24 @@ class Repairer:
             self.automaton.add_word(seq, (len(seq), seq, readings))
         self.automaton.make_automaton()
 
+    def _windows(self, text: str) -> list[tuple[int, int]]:
+        """Where the automaton has to look: every garbled sequence holds a character of ``_TRIGGER``, and none is longer than ``longest``."""
+        out: list[tuple[int, int]] = []
+        for m in _TRIGGER.finditer(text):
+            b, e = max(0, m.start() - self.longest + 1), m.start() + self.longest
+            if out and b <= out[-1][1]:
+                out[-1] = (out[-1][0], e)
+            else:
+                out.append((b, e))
+        return out
+
     def spans(self, text: str | None) -> list[tuple[int, int, str | None]]:
         """Garbled spans as (begin, end, restored text or None where nothing can be restored)."""
         if not text or not _SUSPECT.search(text):
             return []
         found = []
-        for end, (n, seq, readings) in self.automaton.iter(text):
-            found.append((end - n + 1, end + 1, seq, readings))
+        for b, e in self._windows(text):
+            found += [(b + end - n + 1, b + end + 1, seq, readings) for end, (n, seq, readings) in self.automaton.iter(text[b:e])]
         found.sort(key=lambda m: (m[0], -m[1]))
         wide, single, last = [], [], 0
         for b, e, seq, readings in found:

@@ -28,9 +28,12 @@ from itemforge.llm.canonical import Canonizer
 from itemforge.llm.scan import join_broken, strip_running
 
 LANGUAGES = ("pt", "en", "es")
-SAMPLE_ROWS, SAMPLE_CHARS = 400, 60_000
+SAMPLE_ROWS, SAMPLE_CHARS = 400, 90_000
 MIN_WORDS = 6
 CACHE_STEPS = 600_000
+#: Bits of a count of phrases in a sum over several languages; a text would need a hundred million words to fill them.
+FIELD = 32
+MASK = (1 << FIELD) - 1
 #: Prices of a change of language in phrases: between two sentences, and inside one.
 CHANGE, CHANGE_INSIDE = 1.0, 3.0
 _PIECES = re.compile(r"[.!?…“”\"«»\n]+")
@@ -206,10 +209,13 @@ class Classifier:
         self.profile, self.form = profile, Canonizer()
         start = tuple(a.start for a in profile.automata)
         self.joint, self.ids = [start], {start: 0}
-        self.steps: dict[tuple[int, str], tuple[int, tuple[int, ...], int]] = {}
+        self.steps: dict[tuple[int, str], tuple[int, int]] = {}
+
+    def _step(self, joint: int, word: str) -> tuple[int, int]:
+        """(joint state, new phrases) of all automata after a word, kept for the next time.
 
-    def _step(self, joint: int, word: str) -> tuple[int, tuple[int, ...], int]:
-        """(joint state, new phrases by language, the least of them) of all automata after a word; kept for the next time."""
+        The phrases are one number: ``FIELD`` bits for each language and, above them, for the least of them, so that one sum adds all.
+        """
         if len(self.steps) >= CACHE_STEPS:
             del self.joint[1:]
             self.ids = {self.joint[0]: 0}
@@ -225,9 +231,16 @@ class Classifier:
         if at is None:
             at = self.ids[states] = len(self.joint)
             self.joint.append(states)
-        found = self.steps[joint, word] = (at, tuple(new), min(new))
+        packed = min(new)
+        for n in reversed(new):
+            packed = packed << FIELD | n
+        found = self.steps[joint, word] = (at, packed)
         return found
 
+    def _unpacked(self, packed: int) -> list[int]:
+        """New phrases by language, and the least of them."""
+        return [packed >> FIELD * k & MASK for k in range(len(self.profile.languages) + 1)]
+
     def clean(self, text: str) -> str:
         """The text in its undamaged form, as far as it can be told."""
         if not text.isascii():
@@ -245,23 +258,26 @@ class Classifier:
         """(price of a change before it, words, phrases by language) of sentences, and of single words of mixed sentences."""
         steps, none = self.steps, (0,) * len(self.profile.languages)
         for words in _pieces(text):
-            at, least, costs = 0, 0, []
+            at, packed = 0, 0
             for w in words:
                 if w is not None:
                     try:
-                        at, new, low = steps[at, w]
+                        at, new = steps[at, w]
                     except KeyError:
-                        at, new, low = self._step(at, w)
-                    costs.append(new)
-                    least += low
-            total = [*map(sum, zip(*costs))] or none
+                        at, new = self._step(at, w)
+                    packed += new
+            *total, least = self._unpacked(packed)
             # What changes inside could save at most; below the price of one, the sentence is of one language.
             if min(total) - least <= CHANGE_INSIDE:
                 yield CHANGE, len(words), total
                 continue
-            known = iter(costs)
+            at = 0
             for k, w in enumerate(words):
-                yield CHANGE if k == 0 else CHANGE_INSIDE, 1, none if w is None else next(known)
+                cost = none
+                if w is not None:
+                    at, new = steps.get((at, w)) or self._step(at, w)
+                    cost = self._unpacked(new)[:-1]
+                yield CHANGE if k == 0 else CHANGE_INSIDE, 1, cost
 
     def passages(self, text: str | None) -> list[tuple[str, int, float]]:
         """(language, words, confidence) of the stretches in one language, in order."""

@@ -132,6 +132,13 @@ def test_canonical_round_trip():
     assert form.canonical(None) is None and form.canonical("conﬁguração") == "configuração"
 
 
+def test_every_garbled_sequence_has_a_trigger():
+    fix = encoding.Repairer()
+    assert all(encoding._TRIGGER.search(s) and len(s) <= fix.longest for s in encoding.garbled_table())
+    text = "x" * 40 + "Ã©" + "y" * 3 + "â€“" + "z" * 60 + "Ã£"
+    assert fix.spans(text) == [(40, 42, "é"), (45, 48, "–"), (108, 110, "ã")]
+
+
 def test_quick_check_covers_all_of_unicode():
     form = canonical.Canonizer()
     for odd, usual in {"3 ㎏": "3 kg", "①": "1", "ⓐ": "a", "ﻻ": "لا", "ŀ": "l·", "Å": "Å", "ﬀ": "ff", "n̋": "n̋", "é": "é", "가": "가"}.items():
