@@ -154,6 +154,8 @@ def _power(text: str, at: int) -> int:
 
 def mark_inline(text: str) -> str:
     """``$`` around indexed variables, powers of numbers and short powers; commands and their arguments stay untouched."""
+    if "_" not in text and "^" not in text:
+        return text
     out, k = [], 0
     free = lambda c: c != "$" and c != "_" and not c.isalnum()
     while k < len(text):

@@ -62,9 +62,21 @@ def _pieces(banner: str) -> frozenset[str]:
 _BANNER = _pieces(BANNER) | set(BANNER_PIECES)
 
 
+class _Upper(dict):
+    """Capital without accent of a letter; other characters stay."""
+
+    def __missing__(self, point: int) -> str:
+        c = chr(point)
+        self[point] = found = unicodedata.normalize("NFD", c)[0].upper()[:1] if c.isalpha() else c
+        return found
+
+
+_UPPER = _Upper()
+
+
 def plain(text: str) -> str:
     """Upper case without accents, character by character, so that positions stay."""
-    return "".join(unicodedata.normalize("NFD", c)[0].upper()[:1] if c.isalpha() else c for c in text)
+    return text.upper() if text.isascii() else text.translate(_UPPER)
 
 
 def kinds(text: str) -> tuple[str, list[int]]:
@@ -77,16 +89,24 @@ def kinds(text: str) -> tuple[str, list[int]]:
     return "".join(found), at
 
 
+#: What every page line, foot and essay sheet has something of.
+_HINT = re.compile("|".join(("CADERNO", "RNO", "P[AÁ]GINA", "DIA", "DOMINGO", "S[AÁ]BADO", "TECNOLOGIAS", "QUEST", "APLICA", "RASCUNHO", "TRANSCREVA", "REDA", "CI[EÊ]NCIAS", "MATEM", "LINGUAGENS", *KINDS["C"])), _I)
+
+
 def is_page_line(line: str, brand: str = BRAND) -> bool:
     """Whether a line belongs to the page, not to a question."""
     if re.fullmatch(rf"\d{{1,2}}|(?:{brand}\s*)?20\d{{2}}", line, _I):
         return True
-    return bool(_PAGE_LINE.match(kinds(line)[0])) or plain(line).rstrip(".") in _BANNER
+    if _HINT.search(line) and _PAGE_LINE.match(kinds(line)[0]):
+        return True
+    return len(line) <= len(BANNER) + 2 and plain(line).rstrip(".") in _BANNER
 
 
 def _cut(text: str, begin: re.Pattern) -> str:
     """The text up to where, in its last line, ``begin`` is met."""
     last = text.rfind("\n") + 1
+    if not _HINT.search(text, last):
+        return text
     shape, at = kinds(text[last:])
     m = begin.search(shape)
     return text[: last + at[m.start()]].rstrip(_MARKS + "\n") if m else text
